@@ -2,4 +2,55 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_W = r"[^\x20\x09-\x0D]+"
+
+OP3 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body, coalesce('=' || source, 'null') AS host,
+         regexp_extract_all(coalesce(text, ''), '{_W}') AS w
+  FROM documents),
+g AS (
+  SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS t
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, t) AS k FROM g) WHERE k > 1),
+rep AS (
+  SELECT rid, sum(least(8, coalesce(nxt - i, 8))) AS n FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM dup)
+  GROUP BY rid),
+l AS (
+  SELECT rid, host, body, line, regexp_extract_all(line, '{_W}') AS lw
+  FROM (SELECT rid, host, body, unnest(string_split(body, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_W}')),
+n AS (SELECT rid, host, body, line, len(lw) AS k, lower(array_to_string(lw, ' ')) AS norm FROM l),
+hosts AS (SELECT host, count(DISTINCT body) AS nd FROM d GROUP BY host),
+freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT body) AS c FROM n GROUP BY host, norm) JOIN hosts USING (host)
+         WHERE c >= 20 AND c >= nd * 0.05e0),
+gone AS (SELECT rid, sum(k) AS n FROM n SEMI JOIN freq USING (host, norm) GROUP BY rid),
+dl AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM n GROUP BY rid),
+s AS (
+  SELECT d.rid, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(body, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dl.n, 0)::BIGINT AS n_dup_lines,
+    coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS removed_words
+  FROM d LEFT JOIN rep USING (rid) LEFT JOIN dl USING (rid) LEFT JOIN gone USING (rid)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - removed_words >= n_words * 0.3e0 AS kept, removed_words
+FROM b
+"""
+
+OP9 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS t
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT *, least(10, len(w)) AS m FROM b WHERE len(w) > 0))),
+sizes AS (SELECT DISTINCT m FROM p),
+g AS (SELECT rid, m, i, array_to_string(w[i:i + m - 1], ' ') AS t
+  FROM (SELECT rid, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, sizes WHERE len(w) >= m)),
+hits AS (SELECT g.rid, g.i, g.m, p.item_id FROM g JOIN p ON g.m = p.m AND g.t = p.t),
+cov AS (SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest(range(i, i + m)) AS pos FROM hits) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit, coalesce(its.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(its.l, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
+"""
+
+ORACLES: dict[str, str] = {"op3_line_frequency_rules": OP3, "op9_wu_manber_decontamination": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, secrets, sharding
+from . import decontamination, language_id, packing, quality_rules, secrets, sharding, token_counts
 from ._util import table
 
 LANG_HELD_OUT = 1
@@ -17,6 +17,15 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == LANG_HELD_OUT
 
 
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.size(quality_rules.words(body)).cast("long").alias("n_words"))
+    return packing.pack(docs, "n_words", ["doc_id", "n_words"])
+
+
 def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -27,11 +36,21 @@ def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
+def op3_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+    return quality_rules.judge(docs).select("doc_id", *[F.col(f"quality.{f}") for f in fields])
+
+
 def op4_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(table(spark, sf_dir, "documents"), ["doc_id"])
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_layers")
 
 
+def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"])
+
+
 def op9_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     n_hit = decontamination.covered_words("starts", "ends")
@@ -48,8 +67,11 @@ def op10_ecoc_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_feistel_sharding": op2_feistel_sharding,
+    "op3_line_frequency_rules": op3_line_frequency_rules,
     "op4_secret_worklist": op4_secret_worklist,
+    "op6_trie_token_counts": op6_trie_token_counts,
     "op9_wu_manber_decontamination": op9_wu_manber_decontamination,
     "op10_ecoc_language_id": op10_ecoc_language_id,
 }
