@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, packing, quality_rules, secrets, sharding, token_counts
+from . import decontamination, language_id, packing, quality_model, quality_rules, secrets, sharding, token_counts
 from ._util import table
 
 LANG_HELD_OUT = 1
@@ -51,6 +51,13 @@ def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"])
 
 
+def op7_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
+    learn = ~held_out(F.col("doc_id"))
+    sample = quality_model.training_sample(docs, table(spark, sf_dir, "labels").filter(learn), "doc_id", "text", "quality")
+    return quality_model.score(docs, quality_model.fit(*sample), ["doc_id", "held_out"])
+
+
 def op9_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     n_hit = decontamination.covered_words("starts", "ends")
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency_rules": op3_line_frequency_rules,
     "op4_secret_worklist": op4_secret_worklist,
     "op6_trie_token_counts": op6_trie_token_counts,
+    "op7_rule_ensemble_quality": op7_rule_ensemble_quality,
     "op9_wu_manber_decontamination": op9_wu_manber_decontamination,
     "op10_ecoc_language_id": op10_ecoc_language_id,
 }
