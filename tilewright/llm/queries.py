@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, packing, quality_model, quality_rules, secrets, sharding, token_counts
+from . import decontamination, language_id, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, token_counts
 from ._util import table
 
 LANG_HELD_OUT = 1
@@ -58,6 +58,11 @@ def op7_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, quality_model.fit(*sample), ["doc_id", "held_out"])
 
 
+def op8_deep_shallow_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     n_hit = decontamination.covered_words("starts", "ends")
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_worklist": op4_secret_worklist,
     "op6_trie_token_counts": op6_trie_token_counts,
     "op7_rule_ensemble_quality": op7_rule_ensemble_quality,
+    "op8_deep_shallow_repeats": op8_deep_shallow_repeats,
     "op9_wu_manber_decontamination": op9_wu_manber_decontamination,
     "op10_ecoc_language_id": op10_ecoc_language_id,
 }
