@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, token_counts
+from . import decontamination, jaccard_join, language_id, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, token_counts
 from ._util import table
 
 LANG_HELD_OUT = 1
@@ -47,6 +47,10 @@ def op4_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_layers")
 
 
+def op5_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"])
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_sharding": op2_feistel_sharding,
     "op3_line_frequency_rules": op3_line_frequency_rules,
     "op4_secret_worklist": op4_secret_worklist,
+    "op5_signature_tree_join": op5_signature_tree_join,
     "op6_trie_token_counts": op6_trie_token_counts,
     "op7_rule_ensemble_quality": op7_rule_ensemble_quality,
     "op8_deep_shallow_repeats": op8_deep_shallow_repeats,
