@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import fresh
+from ._util import fresh, let
 from .quality_rules import words
 
 SAMPLE_PER_CLASS = 3000
@@ -166,9 +166,9 @@ def score(docs: DataFrame, model: RuleModel, keep: list[str], text: str = "text"
     Null and empty texts are scored by their zero statistics. Repeated rows are scored alike. With nothing learned the
     score is 0.5. Added columns get a trailing underscore where ``keep`` has their name.
     """
-    held = [fresh(docs, f"_st_{n}") for n in STATISTICS]
-    out = docs.select(*keep, *[c.alias(h) for h, c in zip(held, statistics(F.col(text)).values(), strict=True)])
     names = [fresh(docs.select(*keep), n) for n in ("score", "predicted")]
-    value = F.lit(1.0) / (F.lit(1.0) + F.exp(-model.margin([F.col(h) for h in held])))
-    out = out.select(*keep, value.alias(names[0]))
+    held = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
+    # as a lambda's body the rules are interpreted: generated code with all of them takes the compiler over 1 GB
+    margin = let(held, lambda x: model.margin([x[n] for n in STATISTICS]))
+    out = docs.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias(names[0]))
     return out.withColumn(names[1], F.when(F.col(names[0]) >= 0.5, 1).otherwise(0).cast("int"))
