@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -140,7 +141,7 @@ _ANCHORS = "route bigint, settled boolean, content bigint, did bigint, place big
 _MET = "edge boolean, h bigint, chunk int, did bigint, place bigint"
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by (settled, route, content, did, place): repeats, and the earliest run of each content at edges."""
 
     def out(edge, h, chunk, did, place):
@@ -189,7 +190,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting = None
         if edge.any():
             k = firsts[edge]
-            yield out(np.ones(len(k), bool), h[k], (ordinal[edge] // CHUNK).astype(np.int32), did[k], place[k])
+            yield out(np.ones(len(k), bool), h[k], (ordinal[edge] // chunk).astype(np.int32), did[k], place[k])
         if len(firsts) and counts[run[-1]] == 1 and run_f[-1] == run[-1]:
             k = firsts[-1]
             waiting = (h[k], did[k], place[k])
@@ -288,7 +289,7 @@ def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, length: i
 _SORTED = "h bigint, d1 bigint, d2 bigint, did bigint, place bigint"
 
 
-def _sort_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sort_edges(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     """Over rows (h, chunk, many, did, place, bytes) sorted by (h, chunk): repeated windows (d1 null), and for
     minimizers of many chunks the earliest window of each class with its digest."""
     held: list[tuple] = []
@@ -330,7 +331,7 @@ def _sort_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
         for row in zip(*columns, strict=True):
-            if len(held) >= CHUNK and (row[0], row[1]) != (held[-1][0], held[-1][1]):
+            if len(held) >= chunk and (row[0], row[1]) != (held[-1][0], held[-1][1]):
                 yield from settle(held)
                 held = []
             held.append(row)
@@ -389,7 +390,7 @@ def _apply(key_count: int, names: list[str]):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per document: key, n_bytes, n_removed, spans (byte runs removed), kept (the bytes left).
 
     A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a document of smaller key (null
@@ -403,14 +404,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     source = docs.select(did.alias("did"), tag.alias("tag"), body.alias("text"))
     anchors = source.filter(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, _ANCHORS)
     shuffled = anchors.repartition("route").sortWithinPartitions("settled", "route", "content", "did", "place")
-    met = materialize(shuffled.mapInArrow(_meet, _MET), "repeat-runs")
+    met = materialize(shuffled.mapInArrow(partial(_meet, chunk=chunk), _MET), "repeat-runs")
     tag_of = F.shiftright("place", 41)
     edges = met.filter("edge").withColumn("tag", tag_of)
     crowded = edges.filter("chunk = 1").select("h").distinct().withColumn("many", F.lit(True))
     edges = edges.join(crowded, "h", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     per_doc = edges.groupBy("did", "tag").agg(F.collect_list(F.struct("h", "chunk", "many", "place")).alias("edges"))
     cuts = source.join(per_doc, ["did", "tag"]).select("did", "text", "edges").mapInArrow(_cut_edges, "h bigint, chunk int, many boolean, did bigint, place bigint, bytes binary")
-    windows = materialize(cuts.repartition("h", "chunk").sortWithinPartitions("h", "chunk").mapInArrow(_sort_edges, _SORTED), "repeat-windows")
+    windows = materialize(cuts.repartition("h", "chunk").sortWithinPartitions("h", "chunk").mapInArrow(partial(_sort_edges, chunk=chunk), _SORTED), "repeat-windows")
     same = W.partitionBy("h", "d1", "d2").orderBy("did", "place")  # at most one row a chunk
     first = F.first(F.struct("did", "place")).over(same)
     across = windows.filter("d1 is not null").withColumn("lead", first).filter((F.col("did") != F.col("lead.did")) | (F.col("place") != F.col("lead.place")))
