@@ -69,3 +69,14 @@ def test_documents(spark):
     assert S.scan_documents(cases.empty(spark), ["doc_id"]).count() == 0
     marked = S.redact_documents(spark.createDataFrame([(1, f"a {SECRET} b", "z"), (2, None, "z"), (3, "", None)], "doc_id int, text string, spans string")).collect()
     assert [r.text for r in sorted(marked)] == ["a [SECRET] b", None, ""]
+
+
+def test_long_streams_are_scanned_to_the_end(monkeypatch):
+    monkeypatch.setattr(S, "PIECE", 1000)
+    monkeypatch.setattr(S, "OVERLAP", 100)
+    plain = ("é filler " * 700) + SECRET + (" é filler" * 300)
+    for pack in (gzip.compress, bz2.compress, lambda b: gzip.compress(bz2.compress(b))):
+        hidden = base64.b64encode(pack(plain.encode())).decode()
+        assert ("assign", 4, 4 + len(hidden.rstrip("="))) in [(k, s, e - hidden.count("=")) for k, s, e in spans_of("see " + hidden)]
+    broken = base64.b64encode(gzip.compress(plain.encode())[:60]).decode()
+    assert S.scan(broken)[0] == []

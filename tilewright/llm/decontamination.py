@@ -2,7 +2,8 @@
 
 Texts become sequences of 64-bit word hashes. All windows of one length m are searched together: a shift table
 over hashed blocks of two adjacent words tells how far the window's end may move, a block that ends some window
-(shift 0) selects the windows in its suffix bucket, and a direct comparison of the m words confirms each.
+(shift 0) selects the windows in its suffix bucket that begin with the word at hand, and a direct comparison of the m
+words confirms each.
 
 The benchmark is compiled on the driver in parts of at most ``part_words`` words, each broadcast for one pass over
 the documents, so what is broadcast has a fixed bound however large the benchmark grows.
@@ -32,12 +33,13 @@ class WuManber:
         self.size, self.block = size, min(2, size)
         self.far = size - self.block + 1
         self.shift: dict[int, int] = {}
-        self.bucket: dict[int, list[tuple[tuple[int, ...], list[str]]]] = defaultdict(list)
+        self.bucket: dict[int, dict[int, list[tuple[tuple[int, ...], list[str]]]]] = {}
         for window, items in windows.items():
             for end in range(self.block, size + 1):
                 key, left = self._key(window[end - self.block : end]), size - end
                 self.shift[key] = min(self.shift.get(key, self.far), left)
-            self.bucket[self._key(window[size - self.block :])].append((window, items))
+            ending = self.bucket.setdefault(self._key(window[size - self.block :]), {})
+            ending.setdefault(window[0], []).append((window, items))
 
     @staticmethod
     def _key(block: tuple[int, ...]) -> int:
@@ -51,10 +53,11 @@ class WuManber:
             if step:
                 i += step
                 continue
-            here = tuple(words[i - size + 1 : i + 1])
-            for window, items in self.bucket.get(keys[i], ()):
-                if window == here:
-                    yield i - size + 1, items
+            if tests := self.bucket[keys[i]].get(words[i - size + 1]):
+                here = tuple(words[i - size + 1 : i + 1])
+                for window, items in tests:
+                    if window == here:
+                        yield i - size + 1, items
             i += 1
 
 

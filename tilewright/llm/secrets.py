@@ -12,15 +12,19 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
+import hashlib
+import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER_BYTES = 64 << 20
+PIECE, OVERLAP = 4 << 20, 1 << 16
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -45,55 +49,63 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A decoded text; ``starts``/``ends`` give the original span of each character (None: the text itself)."""
+    """A decoded text with the original span of each character: a list of each, or one span for all, or none (the text)."""
 
-    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: array | None = None, ends: array | None = None, span: Span | None = None):
+        self.text, self.starts, self.ends, self.span = text, starts, ends, span
 
     def original(self, start: int, end: int) -> Span:
+        if self.span is not None:
+            return self.span
         if self.starts is None:
             return start, end
         return min(self.starts[start:end]), max(self.ends[start:end])
 
 
-def _from_bytes(raw: bytes, origin: list[Span]) -> Layer | None:
+def _legible(text: str) -> bool:
+    return sum(not (c.isprintable() or c in "\t\r\n") for c in text) * 20 <= len(text)
+
+
+def _from_bytes(raw: bytes, starts: array, ends: array) -> Layer | None:
     """A layer of UTF-8 bytes, each with its origin; None where they are no text."""
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    if sum(not (c.isprintable() or c in "\t\r\n") for c in text) * 20 > len(text):
+    if not _legible(text):
         return None
-    starts, ends, at = [], [], 0
-    for c in text:
-        width = 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
-        starts.append(origin[at][0])
-        ends.append(origin[at + width - 1][1])
-        at += width
+    if len(text) < len(raw):
+        firsts = [i for i, b in enumerate(raw) if b & 0xC0 != 0x80]
+        lasts = [*(i - 1 for i in firsts[1:]), len(raw) - 1]
+        starts, ends = array("q", (starts[i] for i in firsts)), array("q", (ends[i] for i in lasts))
     return Layer(text, starts, ends)
 
 
-def _url(layer: Layer, m: re.Match) -> Layer | None:
-    raw, origin, i = bytearray(), [], m.start()
+def _url(layer: Layer, m: re.Match) -> Iterator[Layer]:
+    raw, starts, ends, i = bytearray(), array("q"), array("q"), m.start()
     while i < m.end():
         step = 3 if layer.text[i] == "%" else 1
-        piece = bytes([int(layer.text[i + 1 : i + 3], 16)]) if step == 3 else layer.text[i].encode()
-        raw += piece
-        origin += [layer.original(i, i + step)] * len(piece)
+        start, end = layer.original(i, i + step)
+        raw.append(int(layer.text[i + 1 : i + 3], 16) if step == 3 else ord(layer.text[i]))
+        starts.append(start)
+        ends.append(end)
         i += step
-    return _from_bytes(bytes(raw), origin) or _unpacked(bytes(raw), layer.original(m.start(), m.end()))
+    if inner := _from_bytes(bytes(raw), starts, ends):
+        yield inner
+    else:
+        yield from _unpacked(iter([bytes(raw)]), layer.original(m.start(), m.end()))
 
 
 def _escapes(layer: Layer) -> Layer | None:
     """The whole layer with its escapes resolved, so that a secret partly escaped is found as well."""
-    out, starts, ends, at = [], [], [], 0
+    out, starts, ends, at = [], array("q"), array("q"), 0
 
     def plain(upto: int) -> None:
         for i in range(at, upto):
-            s, e = layer.original(i, i + 1)
+            start, end = layer.original(i, i + 1)
             out.append(layer.text[i])
-            starts.append(s)
-            ends.append(e)
+            starts.append(start)
+            ends.append(end)
 
     for m in ESCAPE.finditer(layer.text):
         digits = next(g for g in m.groups() if g is not None)
@@ -101,54 +113,93 @@ def _escapes(layer: Layer) -> Layer | None:
         plain(m.start())
         at = m.end()
         if code < 0x110000 and not 0xD800 <= code < 0xE000:
-            s, e = layer.original(m.start(), m.end())
+            start, end = layer.original(m.start(), m.end())
             out.append(chr(code))
-            starts.append(s)
-            ends.append(e)
+            starts.append(start)
+            ends.append(end)
     plain(len(layer.text))
     return Layer("".join(out), starts, ends) if out else None
 
 
-def _unpacked(raw: bytes, span: Span) -> Layer | None:
-    """A layer from a compressed stream; all of it maps to the span that held the stream."""
-    if not raw.startswith(_MAGIC):
-        return None
+def _inflated(packed: Iterator[bytes], magic: bytes) -> Iterator[bytes]:
+    """The unpacked stream in pieces of at most PIECE bytes; it ends where the packed one breaks off or is damaged."""
+    bz = magic[:3] == b"BZh"
+    machine = bz2.BZ2Decompressor() if bz else zlib.decompressobj(47)
     try:
-        machine = bz2.BZ2Decompressor() if raw[:3] == b"BZh" else zlib.decompressobj(47)
-        plain = machine.decompress(raw, MAX_LAYER_BYTES)
+        for data in packed:
+            while True:
+                piece = machine.decompress(data, PIECE)
+                if piece:
+                    yield piece
+                data = b"" if bz else machine.unconsumed_tail
+                if machine.eof or (machine.needs_input if bz else not data):
+                    break
+            if machine.eof:
+                return
     except (OSError, zlib.error):
-        return None
-    return _from_bytes(plain, [span] * len(plain)) or _unpacked(plain, span)
+        return
+
 
+def _unpacked(packed: Iterator[bytes], span: Span) -> Iterator[Layer]:
+    """Layers of a compressed stream, unpacked as often as it was packed; all of them map to the span that held it.
 
-def _base64(layer: Layer, m: re.Match) -> Layer | None:
+    A long stream gives several layers that overlap by OVERLAP characters, so memory is bounded and nothing is left out.
+    """
+    first = next(packed, b"")
+    if not first.startswith(_MAGIC):
+        return
+    plain = _inflated(itertools.chain([first], packed), first)
+    head = next(plain, b"")
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    try:
+        text = decoder.decode(head)
+    except UnicodeDecodeError:
+        text = ""
+    if not text or not _legible(text):
+        yield from _unpacked(itertools.chain([head], plain), span)
+        return
+    yield Layer(text, span=span)
+    for piece in plain:
+        try:
+            text = text[-OVERLAP:] + decoder.decode(piece)
+        except UnicodeDecodeError:
+            return
+        yield Layer(text, span=span)
+
+
+def _base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
     body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
-        return None
+        return
     try:
         raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
-        return None
+        return
     if raw.startswith(_MAGIC):
-        return _unpacked(raw, layer.original(m.start(), m.end()))
-    if raw[:64].count(0) > 3:
-        return None
-    first = m.start()
+        yield from _unpacked(iter([raw]), layer.original(m.start(), m.end()))
+        return
     try:
         raw.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    origin = [layer.original(first + i * 4 // 3, min(first + (i * 4 + 3) // 3 + 1, m.end())) for i in range(len(raw))]
-    return _from_bytes(raw, origin)
+        return
+    starts, ends = array("q"), array("q")
+    for i in range(len(raw)):  # byte i lies in characters i * 8 // 6 to the one that holds its last bit
+        start, end = layer.original(m.start() + i * 4 // 3, m.start() + (i * 8 + 7) // 6 + 1)
+        starts.append(start)
+        ends.append(end)
+    if inner := _from_bytes(raw, starts, ends):
+        yield inner
 
 
 def _deeper(layer: Layer) -> Iterator[Layer]:
     text = layer.text
     if "%" in text:
-        yield from filter(None, (_url(layer, m) for m in URL.finditer(text)))
+        for m in URL.finditer(text):
+            yield from _url(layer, m)
     if ("\\" in text or "&#" in text) and ESCAPE.search(text) and (inner := _escapes(layer)):
         yield inner
-    yield from filter(None, (_base64(layer, m) for m in BASE64.finditer(text)))
+    for m in BASE64.finditer(text):
+        yield from _base64(layer, m)
 
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -156,15 +207,22 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     text = text or ""
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
     base = sorted(base_spans(text), key=order)
-    found, seen, work, layers = set(base), {text}, [Layer(text)], 0
+    mark = lambda t: hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    found, seen, layers = set(base), set(), 0
+    work = [_deeper(Layer(text))]  # what is left of each layer being searched
     while work:
-        for inner in _deeper(work.pop()):
-            if inner.text in seen:
-                continue
-            seen.add(inner.text)
-            layers += 1
-            found.update((kind, *inner.original(s, e)) for kind, s, e in base_spans(inner.text))
-            work.append(inner)
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+            continue
+        if not seen:
+            seen.add(mark(text))
+        if (digest := mark(inner.text)) in seen:
+            continue
+        seen.add(digest)
+        layers += 1
+        found.update((kind, *inner.original(s, e)) for kind, s, e in base_spans(inner.text))
+        work.append(_deeper(inner))
     return base, sorted(found, key=order), layers
 
 
@@ -186,7 +244,7 @@ def scan_documents(docs: DataFrame, key: list[str], text: str = "text") -> DataF
     """One row per document: key columns, base and spans (as kind:start:end lists), base counts and n_layers.
 
     Null and empty texts have no spans. Rows are independent: repeated rows give repeated results.
-    A stream that unpacks to more than MAX_LAYER_BYTES is scanned up to there, which bounds a task's memory.
+    Texts are scanned whole; what a compressed layer unpacks to is scanned in overlapping pieces, which bounds memory.
     """
     shape = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in key)
 
