@@ -12,12 +12,16 @@ from ..functions.tiling import addresses
 from ..functions.wire import encode_column, vector_tile
 
 
-def pixel_counts(counts: DataFrame, epsg: int, zoom: int, tile_size: int = 512) -> DataFrame:
-    """(mapKey, x, y, borYear, occCount): plottable places summed by global pixel."""
+def place_pixels(counts: DataFrame, epsg: int, zoom: int, tile_size: int = 512) -> DataFrame:
+    """(mapKey, x, y, borYear, occCount): one row for each plottable place, not yet summed by pixel."""
     lat, lng = F.col("lat"), F.col("lng")
     x, y = global_pixel(epsg, zoom, lat, lng, tile_size)
-    shown = counts.filter(plottable(epsg, lat) & lng.isNotNull()).select("mapKey", x.alias("x"), y.alias("y"), "borYear", "occCount")
-    return shown.groupBy("mapKey", "x", "y", "borYear").agg(F.sum("occCount").alias("occCount"))
+    return counts.filter(plottable(epsg, lat) & lng.isNotNull()).select("mapKey", x.alias("x"), y.alias("y"), "borYear", "occCount")
+
+
+def pixel_counts(counts: DataFrame, epsg: int, zoom: int, tile_size: int = 512) -> DataFrame:
+    """(mapKey, x, y, borYear, occCount): plottable places summed by global pixel."""
+    return place_pixels(counts, epsg, zoom, tile_size).groupBy("mapKey", "x", "y", "borYear").agg(F.sum("occCount").alias("occCount"))
 
 
 def south(counts: DataFrame, limit: float = 1.0) -> DataFrame:
@@ -45,6 +49,7 @@ def assemble(rows: DataFrame, zoom: int) -> DataFrame:
 
     A tile holds at most (tile size + 2 buffers) squared pixels, which bounds the list whatever the input.
     """
+    rows = rows.repartition("mapKey", "tileX", "tileY")  # serves both groupings below; lists have nothing to combine earlier
     pixel = rows.groupBy("mapKey", "tileX", "tileY", "pixelX", "pixelY").agg(F.sort_array(F.collect_list(F.struct("borYear", "occCount"))).alias("features"))
     entry = F.struct(F.col("pixelX").alias("x"), F.col("pixelY").alias("y"), "features")
     return pixel.groupBy("mapKey", "tileX", "tileY").agg(F.sort_array(F.collect_list(entry)).alias("tile")).withColumn("z", F.lit(zoom))

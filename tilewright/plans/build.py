@@ -65,7 +65,7 @@ def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None
 
                 def settle(level: DataFrame, epsg=epsg, done=done) -> DataFrame:
                     path = f"{work}/levels/{epsg}/{next(done)}"
-                    level.write.mode("overwrite").parquet(path)
+                    level.write.mode("overwrite").partitionBy("z").parquet(path)
                     return spark.read.schema(level.schema).parquet(path)
 
                 for zoom, out in build_tiles(counts, epsg, config, settle):

@@ -1,52 +1,51 @@
-"""The zoom pyramid: places are projected once, at the highest zoom, and each lower zoom sums the one above it.
+"""The zoom pyramid: places are projected once, at the highest zoom, and each lower zoom sums the pixels above it.
 
-Halving a global pixel gives the pixel of the zoom below exactly, edges included, so no zoom is projected again and
-each reads an input that has already shrunk. A level is dealt out by map key and a coarse square of pixels; since all
-pixels that later meet lie in one square, ``levels_per_shuffle`` levels are summed on one shuffle.
+Halving a global pixel gives the pixel of the zoom below exactly, edges included, so no zoom is projected again. The zooms
+are made in blocks of a few. A block's pixels are dealt out by map key and a coarse square of pixels; since all pixels
+that meet within the block lie in one square, all of its zooms are summed on one shuffle, in one pass. The next block
+starts from the lowest zoom of the one before, whose input has shrunk by a power of four a zoom.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.tiles import pixel_counts
+from ..operators.tiles import place_pixels
 
-LEVELS_PER_SHUFFLE = 4
+ZOOMS_PER_SHUFFLE = 4
 
 
-def _dealt(pixels: DataFrame, levels: int) -> DataFrame:
-    """Pixels with their square of 2**levels pixels, dealt out by it."""
-    square = [F.shiftright(c, levels).alias(f"b{c}") for c in ("x", "y")]
-    return pixels.select("mapKey", "x", "y", "borYear", "occCount", *square).repartition("mapKey", "bx", "by")
+def blocks(counts: DataFrame, epsg: int, max_zoom: int, min_zoom: int = 0, tile_size: int = 512, size: int = ZOOMS_PER_SHUFFLE, settle: Callable[[DataFrame], DataFrame] | None = None) -> Iterator[tuple[range, DataFrame]]:
+    """(zooms, pixels) from the highest block down; pixels are (z, mapKey, x, y, borYear, occCount).
 
-
-def lower(pixels: DataFrame) -> DataFrame:
-    """The level below: no exchange, as the grouping holds the keys by which the level is dealt out."""
-    half = pixels.select("mapKey", F.shiftright("x", 1).alias("x"), F.shiftright("y", 1).alias("y"), "borYear", "occCount", "bx", "by")
-    return half.groupBy("mapKey", "bx", "by", "x", "y", "borYear").agg(F.sum("occCount").alias("occCount"))
-
-
-def levels(counts: DataFrame, epsg: int, max_zoom: int, min_zoom: int = 0, tile_size: int = 512, per_shuffle: int = LEVELS_PER_SHUFFLE, settle=None) -> Iterator[tuple[int, DataFrame]]:
-    """(zoom, pixels) from ``max_zoom`` down; pixels are (mapKey, x, y, borYear, occCount).
-
-    ``settle`` (DataFrame -> DataFrame) stores a level, for builds that write every level anyway: the next is then
-    read from it instead of being computed from the start.
+    ``settle`` stores a block, for builds: its zooms and the next block are then read from it.
     """
-    pixels = pixel_counts(counts, epsg, max_zoom, tile_size)
-    for step, zoom in enumerate(range(max_zoom, min_zoom - 1, -1)):
-        if step % per_shuffle == 0:
-            pixels = settle(pixels.select("mapKey", "x", "y", "borYear", "occCount")) if settle else pixels
-            pixels = _dealt(pixels, per_shuffle)
-        yield zoom, pixels.select("mapKey", "x", "y", "borYear", "occCount")
-        if zoom > min_zoom:
-            pixels = lower(pixels)
-
-
-def pyramid(counts: DataFrame, epsg: int, max_zoom: int, min_zoom: int = 0, tile_size: int = 512, settle=None) -> DataFrame:
-    """All levels as one frame: (epsg, z, mapKey, x, y, borYear, occCount)."""
-    parts = [p.select(F.lit(epsg).alias("epsg"), F.lit(z).alias("z"), "*") for z, p in levels(counts, epsg, max_zoom, min_zoom, tile_size, settle=settle)]
+    pixels = place_pixels(counts, epsg, max_zoom, tile_size)
+    for top in range(max_zoom, min_zoom - 1, -size):
+        zooms = range(top, max(min_zoom, top - size + 1) - 1, -1)
+        square = [F.shiftright(c, size).alias(f"b{c}") for c in ("x", "y")]
+        dealt = pixels.select("mapKey", "x", "y", "borYear", "occCount", *square).repartition("mapKey", "bx", "by")
+        spread = dealt.withColumn("down", F.explode(F.array(*[F.lit(k) for k in range(len(zooms))])))
+        halved = spread.select("mapKey", "bx", "by", "down", F.expr("shiftright(x, down)").alias("x"), F.expr("shiftright(y, down)").alias("y"), "borYear", "occCount")
+        summed = halved.groupBy("mapKey", "bx", "by", "down", "x", "y", "borYear").agg(F.sum("occCount").alias("occCount"))
+        block = summed.select((F.lit(top) - F.col("down")).alias("z"), "mapKey", "x", "y", "borYear", "occCount")
+        block = settle(block) if settle else block
+        yield zooms, block
+        pixels = block.filter(F.col("z") == zooms[-1]).select("mapKey", F.shiftright("x", 1).alias("x"), F.shiftright("y", 1).alias("y"), "borYear", "occCount")
+
+
+def levels(counts: DataFrame, epsg: int, max_zoom: int, min_zoom: int = 0, tile_size: int = 512, settle: Callable[[DataFrame], DataFrame] | None = None) -> Iterator[tuple[int, DataFrame]]:
+    """(zoom, pixels) from ``max_zoom`` down; pixels are (mapKey, x, y, borYear, occCount)."""
+    for zooms, block in blocks(counts, epsg, max_zoom, min_zoom, tile_size, settle=settle):
+        for zoom in zooms:
+            yield zoom, block.filter(F.col("z") == zoom).drop("z")
+
+
+def pyramid(counts: DataFrame, epsg: int, max_zoom: int, min_zoom: int = 0, tile_size: int = 512, settle: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """All zooms as one frame: (epsg, z, mapKey, x, y, borYear, occCount)."""
+    parts = [b.select(F.lit(epsg).alias("epsg"), "*") for _, b in blocks(counts, epsg, max_zoom, min_zoom, tile_size, settle=settle)]
     return reduce(DataFrame.unionByName, parts)

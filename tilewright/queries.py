@@ -242,6 +242,8 @@ def sink_roundtrip(spark, sf_dir):
     base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/tilewright-cells"
     path = cells.path_of(base, f"cells-{uuid.uuid4().hex}", "points")
     cells.write(point_pb_bytes(spark, sf_dir), path, MODULUS)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     shape = "mapKey string, lat double, lng double, basis bigint, year bigint"
 
     def decode(batches):
