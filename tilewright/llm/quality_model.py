@@ -23,22 +23,32 @@ PENALTY = 0.002
 Condition = tuple[int, bool, float]  # statistic, "at most", threshold
 Rule = tuple[Condition, ...]
 
-STATISTICS = ("n_chars", "n_words", "word_length", "upper", "symbols", "bars", "bangs", "digits", "stops", "lines", "repeated_lines", "distinct_words", "short_words")
+#: Characters counted for each word.
+PATTERNS = {"upper": r"\p{Lu}", "symbols": r"[#*$%&<>]", "bars": r"\|", "bangs": "!", "digits": "[0-9]", "stops": "[.,;:?]"}
+STATISTICS = ("n_chars", "n_words", "word_length", *PATTERNS, "lines", "repeated_lines", "distinct_words")
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text as doubles; an empty or null text has zeros."""
+def statistics(text: Column) -> Column:
+    """Struct of the named statistics of a text as doubles; an empty or null text has zeros."""
     text = F.coalesce(text, F.lit(""))
-    count = lambda p: F.regexp_count(text, F.lit(p)).cast("double")
-    w = words(text)
-    n = F.greatest(F.size(w), F.lit(1)).cast("double")
-    rows = F.split(text, "\n")
-    n_rows = F.greatest(F.size(rows), F.lit(1)).cast("double")
-    values = (
-        F.length(text).cast("double"), F.size(w).cast("double"), F.length(F.array_join(w, "")) / n, count(r"\p{Lu}") / n, count(r"[#*$%&<>]") / n, count(r"\|") / n, count("!") / n,
-        count("[0-9]") / n, count("[.,;:?]") / n, n_rows / n, F.lit(1.0) - F.size(F.array_distinct(rows)) / n_rows, F.size(F.array_distinct(w)) / n, count(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,2}(?![^\x20\x09-\x0D])") / n,
-    )
-    return dict(zip(STATISTICS, values, strict=True))
+    share = lambda a, n: (a / n).cast("double")
+    of_words = lambda w: let(
+        F.greatest(F.size(w), F.lit(1)),
+        lambda n: F.struct(F.size(w).cast("double").alias("n"), share(F.length(F.array_join(w, "")), n).alias("length"), share(F.size(F.array_distinct(w)), n).alias("distinct")),
+    )
+    of_lines = lambda x: F.struct(F.size(x).alias("n"), share(F.size(x) - F.size(F.array_distinct(x)), F.size(x)).alias("again"))
+    counts = {name: F.regexp_count(text, F.lit(p)) for name, p in PATTERNS.items()}
+    held = F.struct(let(words(text), of_words).alias("w"), let(F.split(text, "\n"), of_lines).alias("l"))
+
+    def named(x: Column) -> Column:
+        n = F.greatest(x["w"]["n"], F.lit(1.0))
+        values = (
+            F.length(text).cast("double"), x["w"]["n"], x["w"]["length"], *[share(c, n) for c in counts.values()],
+            share(x["l"]["n"], n), x["l"]["again"], x["w"]["distinct"],
+        )
+        return F.struct(*[v.alias(k) for k, v in zip(STATISTICS, values, strict=True)])
+
+    return let(held, named)
 
 
 @dataclass
@@ -152,7 +162,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("_y") == 1, min(1.0, per_class / counts.get(1, 1))).otherwise(min(1.0, per_class / counts.get(0, 1)))
     picked = F.broadcast(labels.filter(draw < share))  # about 2 * per_class rows of two numbers, at any size
-    rows = docs.select(key, text).join(picked, key).select("_y", *[c.alias(n) for n, c in statistics(F.col(text)).items()]).collect()
+    rows = docs.select(key, text).join(picked, key).select("_y", statistics(F.col(text)).alias("s")).select("_y", "s.*").collect()
     rows = sorted(tuple(r) for r in rows)
     x = np.array([r[1:] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
     y = np.array([r[0] for r in rows], np.float64)
@@ -167,8 +177,7 @@ def score(docs: DataFrame, model: RuleModel, keep: list[str], text: str = "text"
     score is 0.5. Added columns get a trailing underscore where ``keep`` has their name.
     """
     names = [fresh(docs.select(*keep), n) for n in ("score", "predicted")]
-    held = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
     # as a lambda's body the rules are interpreted: generated code with all of them takes the compiler over 1 GB
-    margin = let(held, lambda x: model.margin([x[n] for n in STATISTICS]))
+    margin = let(statistics(F.col(text)), lambda x: model.margin([x[n] for n in STATISTICS]))
     out = docs.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias(names[0]))
     return out.withColumn(names[1], F.when(F.col(names[0]) >= 0.5, 1).otherwise(0).cast("int"))
