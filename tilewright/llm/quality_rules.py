@@ -145,4 +145,6 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", least_docs:
         r["n"].alias("removed_words"), (~s["base_failed"] & (s["n_words"] - r["n"] >= s["n_words"] * F.lit(remain))).alias("kept"), r["t"].alias("clean_text"),
     )
     both = F.struct(statistics(F.col(text)).alias("s"), removal.alias("r"))
-    return docs.withColumn(out, let(both, lambda x: verdict(x["s"], x["r"]))).drop(flagged)
+    # a generator's output: a filter on it is not turned into a second evaluation of the whole expression
+    judged = F.explode(F.array(let(both, lambda x: verdict(x["s"], x["r"])))).alias(out)
+    return docs.select("*", judged).drop(flagged)
