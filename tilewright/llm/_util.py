@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _LOCAL_DIR: str | None = None
 
 
@@ -38,11 +43,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_LOCAL_DIR}"
 
 
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most BATCH_BYTES while plans of wide rows run, so that a task's memory is bounded."""
+    before = spark.conf.get(_BATCH_CONF, None)
+    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_CONF)
+        else:
+            spark.conf.set(_BATCH_CONF, before)
+
+
 def materialize(df: DataFrame, stem: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _small_batches(spark):
+        df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
@@ -54,3 +74,9 @@ def drop_table(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop the shuffle files of plans that are done; else they stay until it happens to collect garbage."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -1,17 +1,20 @@
 """Operator 5, n-gram Jaccard join with signature trees.
 
 A document is the set of its distinct five-word shingles (64-bit hashes). Two sets link when their Jaccard similarity
-is at least NUM/DEN. The join is exact on those hashes:
+is at least t = NUM/DEN. The join is exact on those hashes:
 
 1. Equal sets are one node, named by a hash of the set.
-2. Of each set the prefix that must hold a shared shingle of any linked pair is dealt out by shingle. Shingles are
-   taken in hash order, those marked as frequent last; the marks are a bitmap of fixed size, made from a sample,
-   and only change the order, never the result. Shingles with one set are dropped.
-3. Each set is compared with one leader, the one it shares most prefix shingles with. That settles dense groups with
-   one comparison a document, and their components are computed.
-4. Shingles whose sets lie in different components remain. For each a signature tree is built: its nodes hold the
-   OR of their sets' bitmaps and the range of their sizes. A dual traversal drops node pairs whose largest possible
-   overlap is too small; the pairs of sets left, across components only, are compared by their shingles.
+2. The first REACH of each set's n shingles are dealt out by shingle. Shingles are taken in hash order, those marked as
+   frequent last; the marks are a bitmap of fixed size, made from a sample, and only change the order, never the result.
+   Of two linked sets, let a be the one whose dealt shingles end first. They share t * n of a's shingles or more, and all
+   but (1 - REACH) * n of those are dealt out by both sides. So a set with fewer than (REACH - 1 + t) * n
+   dealt shingles in company has no link, and is dropped; few sets but near duplicates stay.
+3. Each set left is compared with one leader, the one it shares most dealt shingles with. That settles dense groups
+   with one comparison a document, and their components are computed.
+4. Linked sets share one of their first (1 - t) * n + 1 shingles. Of those shingles the ones whose sets lie in different
+   components remain, and one shingle stands for all with the same sets. For each a signature tree is built: its nodes
+   hold the OR of their sets' bitmaps and the range of their sizes. A dual traversal drops node pairs whose largest
+   possible overlap is too small; the pairs of sets left, across components only, are compared by their shingles.
    A shingle with more sets than BLOCK is split into blocks, and each pair of blocks is traversed.
 5. Components of the links found become components of documents.
 """
@@ -27,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import fresh, materialize
+from ._marks import bitmap, marked
+from ._util import fresh, materialize, release
 from ._words import SPACED, buffers, chunks, grams, mix, word_hashes
 from .components import components
 
 SHINGLE = 5
 NUM, DEN = 75, 100
-HOT_BITS = 24
-SAMPLE, SAMPLE_HITS = 8, 8
+REACH = (2, 5)
+SAMPLE, SAMPLE_HITS = 16, 4
+BROADCAST_ROWS = 500_000
 BLOCK = 4096
 SIGNATURE_BITS = 2048
 LEAF = 8
@@ -57,52 +62,52 @@ def sets_of(column: pa.Array) -> Iterator[np.ndarray]:
             yield shingle_set(hashes[at[row] : at[row + 1]])
 
 
-def prefix(shingles: np.ndarray, hot: np.ndarray | None, num: int, den: int) -> np.ndarray:
-    """The shingles of which any set similar enough must hold one among its own."""
-    size = len(shingles) - -(-len(shingles) * num // den) + 1
-    if hot is not None:
-        at = shingles & np.uint64((1 << HOT_BITS) - 1)
-        marked = (hot[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        shingles = np.concatenate([shingles[~marked], shingles[marked]])
-    return shingles[:size]
+def in_order(shingles: np.ndarray, hot: np.ndarray | None) -> np.ndarray:
+    """The set in the order all sets are dealt out in."""
+    if hot is None:
+        return shingles
+    often = marked(hot, shingles)
+    return np.concatenate([shingles[~often], shingles[often]])
+
+
+def reach(n: int) -> int:
+    """How many of n shingles are dealt out."""
+    return min(n, -(-n * REACH[0] // REACH[1]) + 1)
+
+
+def core(n: int, num: int, den: int) -> int:
+    """Of how many first shingles two linked sets share one."""
+    return n - -(-n * num // den) + 1
 
 
 def similar(shared: int, a: int, b: int, num: int, den: int) -> bool:
     return shared * den >= num * (a + b - shared)
 
 
-def _hot_bitmap(source: DataFrame, num: int, den: int) -> np.ndarray:
-    """Marks of shingles frequent in the prefixes of one text in SAMPLE: 2**HOT_BITS bits at any size of input."""
+def _frequent(source: DataFrame) -> DataFrame:
+    """(token) of the shingles dealt out SAMPLE_HITS times or more by one text in SAMPLE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [prefix(s, None, num, den) for s in sets_of(batch.column(0)) if len(s)]
+            parts = [s[: reach(len(s))] for s in sets_of(batch.column(0)) if len(s)]
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["token"])
 
-    sample = source.filter(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text").distinct()
-    often = sample.mapInArrow(run, "token bigint").groupBy("token").count().filter(F.col("count") >= SAMPLE_HITS)
-    at = F.col("token").bitwiseAND((1 << HOT_BITS) - 1)
-    bit = F.expr("shiftleft(cast(1 as bigint), cast(at & 63 as int))")
-    words = often.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    out = np.zeros(1 << (HOT_BITS - 6), np.uint64)
-    for word, bits in words.collect():  # 2**18 rows at most
-        out[word] = bits & ((1 << 64) - 1)
-    return out
+    sample = source.filter(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text")
+    return sample.mapInArrow(run, "token bigint").groupBy("token").count().filter(F.col("count") >= SAMPLE_HITS)
 
 
-_ROWS = "member boolean, token bigint, sid bigint, n bigint, did bigint, text_hash bigint"
-_MET = "member boolean, token bigint, sid bigint, n bigint, lead bigint, lead_n bigint, did bigint, text_hash bigint"
+_ROWS = "member boolean, token bigint, sid bigint, n bigint, first boolean, did bigint, text_hash bigint"
+_NAMES = ["member", "token", "sid", "n", "first", "did", "text_hash"]
 
 
 def _deal(hot, num: int, den: int):
-    """One row per document, and one per prefix shingle of its set."""
+    """One row per document, and one per dealt shingle of its set, ``first`` where it is of the core."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealt: set[int] = set()
         for batch in batches:
-            did, text_hash = batch.column(0), batch.column(1)
-            sids, sizes, tokens, owners, owner_sizes = [], [], [], [], []
+            sids, sizes, tokens, owners, counts, firsts, held = [], [], [], [], [], [], 0
             for shingles in sets_of(batch.column(2)):
                 n = len(shingles)
                 sid = set_id(shingles) if n else None
@@ -110,77 +115,91 @@ def _deal(hot, num: int, den: int):
                 sizes.append(n)
                 if n and sid not in dealt:
                     dealt.add(sid)
-                    part = prefix(shingles, hot.value, num, den)
+                    part = in_order(shingles, hot.value)[: reach(n)]
                     tokens.append(part)
                     owners.append(np.full(len(part), sid, np.int64))
-                    owner_sizes.append(np.full(len(part), n, np.int64))
-            if len(dealt) > 1_000_000:
+                    counts.append(np.full(len(part), n, np.int64))
+                    firsts.append(np.arange(len(part)) < core(n, num, den))
+                    held += len(part)
+                    if held > 100_000:
+                        yield _dealt_rows(np.concatenate(tokens).view(np.int64), *map(np.concatenate, (owners, counts, firsts)))
+                        tokens, owners, counts, firsts, held = [], [], [], [], 0
+            if len(dealt) > 200_000:
                 dealt.clear()
             k = batch.num_rows
             route = mix(np.arange(k, dtype=np.uint64) + np.uint64(0x5851F42D)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, bool)), pa.array(route), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), did, text_hash], ["member", "token", "sid", "n", "did", "text_hash"])
-            if not tokens:
-                continue
-            token, owner, size = np.concatenate(tokens).view(np.int64), np.concatenate(owners), np.concatenate(owner_sizes)
-            for first in range(0, len(token), 100_000):
-                cut = slice(first, first + 100_000)
-                m = len(token[cut])
-                nulls = pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, bool)), pa.array(token[cut]), pa.array(owner[cut]), pa.array(size[cut]), nulls, nulls], ["member", "token", "sid", "n", "did", "text_hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, bool)), pa.array(route), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(k, pa.bool_()), batch.column(0), batch.column(1)], _NAMES)
+            if tokens:
+                yield _dealt_rows(np.concatenate(tokens).view(np.int64), *map(np.concatenate, (owners, counts, firsts)))
 
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by (member, token, sid): the members, and the shingles of two sets or more with the run's leader."""
-    names = ["member", "token", "sid", "n", "lead", "lead_n", "did", "text_hash"]
+def _dealt_rows(token, sid, n, first) -> pa.RecordBatch:
+    nulls = pa.nulls(len(token), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(token), bool)), *map(pa.array, (token, sid, n, first)), nulls, nulls], _NAMES)
 
-    def out(token, sid, n, lead, lead_n):
-        nulls = pa.nulls(len(token), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(token), bool)), *[pa.array(x, pa.int64()) for x in (token, sid, n, lead, lead_n)], nulls, nulls], names)
 
-    last = None  # (token, sid, lead, lead_n, whether the leader's row is out)
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by (member, token, sid): the members, and the shingles dealt out by two sets or more."""
+    last = None  # the last row of the batch before, and whether it is out
     for batch in batches:
         member = batch.column(0).to_numpy(zero_copy_only=False)
         if member.any():
-            part = batch.filter(pa.array(member))
-            nulls = pa.nulls(part.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*[part.column(k) for k in range(4)], nulls, nulls, part.column(4), part.column(5)], names)
+            yield batch.filter(pa.array(member))
             batch = batch.filter(pa.array(~member))
         if not batch.num_rows:
             continue
-        token, sid, n = (batch.column(k).to_numpy() for k in (1, 2, 3))
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3, 4)]
         if last is not None:
-            token, sid, n = np.append(last[0], token), np.append(last[1], sid), np.append(last[5], n)
+            columns = [np.append(np.array([x], c.dtype), c) for x, c in zip(last[0], columns, strict=True)]
+        token, sid = columns[:2]
         once = np.ones(len(token), bool)
         once[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
-        token, sid, n = token[once], sid[once], n[once]
+        columns = [c[once] for c in columns]
+        token = columns[0]
         new = np.ones(len(token), bool)
         new[1:] = token[1:] != token[:-1]
-        begin = np.flatnonzero(new)
         run = np.cumsum(new) - 1
-        lead, lead_n = sid[begin][run], n[begin][run]
-        if last is not None:  # row 0 repeats the last row of the batch before
-            lead[run == 0], lead_n[run == 0] = last[2], last[3]
-        count = np.bincount(run)
-        shared = count[run] > 1
-        if last is not None:
-            if last[4]:
-                shared[run == 0] = True
-                shared[0] = False
-        k = np.flatnonzero(shared)
+        shared = np.bincount(run)[run] > 1
+        out = shared.copy()
+        if last is not None and last[1]:  # its run is known to be shared, and it is out
+            out[run == 0] = shared[run == 0] = True
+            out[0] = False
+        k = np.flatnonzero(out)
         if len(k):
-            yield out(token[k], sid[k], n[k], lead[k], lead_n[k])
-        done = bool(count[-1] > 1) or (last is not None and len(begin) == 1 and last[4])
-        last = (token[-1], sid[-1], lead[-1], lead_n[-1], done, n[-1])
+            yield _dealt_rows(*[c[k] for c in columns])
+        last = ([c[-1] for c in columns], bool(shared[-1]))
 
 
-def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = list(sets_of(batch.column(1)))
-        for first in range(0, len(sets), 1000):
-            cut = slice(first, first + 1000)
-            yield pa.RecordBatch.from_arrays([batch.column(0)[cut], pa.array([s.tobytes() for s in sets[cut]], pa.binary())], ["sid", "shingles"])
+def _as_sets(wanted):
+    """(sid, shingles) of the marked rows (mark, text); a set may come again, which does no harm."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(marked(wanted.value, batch.column(0).to_numpy().view(np.uint64))))
+            sids, sets = [], []
+            for shingles in sets_of(batch.column(1)):
+                if len(shingles):
+                    sids.append(set_id(shingles))
+                    sets.append(shingles.tobytes())
+            for at in range(0, len(sids), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array(sids[at : at + 1000], pa.int64()), pa.array(sets[at : at + 1000], pa.binary())], ["sid", "shingles"])
+
+    return run
+
+
+def _only_marked(marks, *columns: int):
+    """Rows with marks for all of the columns (numbers of the row's columns)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for k in columns:
+                keep &= marked(marks.value, batch.column(k).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(keep))
+
+    return run
 
 
 def _verify(num: int, den: int):
@@ -197,11 +216,19 @@ def _verify(num: int, den: int):
     return run
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """Rows of two numbers, broadcast if a count shows that they are few; more are joined by shuffle."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a bigint, b bigint")
+    """The pairs (a, b) whose sets are similar enough; ``pairs`` is a stored table."""
+    spark = pairs.sparkSession
+    marks = {side: spark.sparkContext.broadcast(bitmap(pairs, side)) for side in ("a", "b")}
+    left_sets, right_sets = (sets.mapInArrow(_only_marked(marks[side], 0), "sid bigint, shingles binary") for side in ("a", "b"))
+    left = left_sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
+    right = right_sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y"))
+    return left.join(_small(pairs), "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a bigint, b bigint")
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,26 +306,25 @@ def dual_traversal(root: Node, sizes: list[int], bitmaps: list[int], num: int =
 
 
 def _traverse(num: int, den: int):
-    """Over rows (token, i, j, sid, n, block, label, signature) sorted by (token, i, j): candidate pairs of components."""
+    """Over rows (token, i, j, sid, n, block, label, signature, tokens) sorted by (token, i, j): candidate pairs.
+
+    A pair comes from the least token that both sets hold, so it comes once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()
         group: list[tuple] = []
 
         def settle() -> Iterator[pa.RecordBatch]:
             sizes = [r[4] for r in group]
             bitmaps = [int.from_bytes(r[7], "big") for r in group]
             across = group[0][1] != group[0][2]
+            before = [frozenset(t for t in r[8] if t < r[0]) for r in group]
             root, a, b = signature_tree(sizes, bitmaps), [], []
             for i, j in dual_traversal(root, sizes, bitmaps, num, den) if root else ():
                 x, y = group[i], group[j]
-                pair = (min(x[3], y[3]), max(x[3], y[3]))
-                if x[6] != y[6] and not (across and x[5] == y[5]) and pair not in sent:
-                    sent.add(pair)
-                    a.append(pair[0])
-                    b.append(pair[1])
-            if len(sent) > 1_000_000:
-                sent.clear()
+                if x[6] != y[6] and not (across and x[5] == y[5]) and before[i].isdisjoint(before[j]):
+                    a.append(min(x[3], y[3]))
+                    b.append(max(x[3], y[3]))
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -314,22 +340,26 @@ def _traverse(num: int, den: int):
     return run
 
 
-def _rest(shared: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _rest(shared: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
     """Candidate pairs (a, b) across components, from the shingles that more than one component shares."""
     roots = roots.select(F.col("node").alias("sid"), F.col("root").alias("label"))
-    rows = shared.select("token", "sid", "n").join(roots, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    rows = materialize(rows, "labelled-shingles")
-    mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    mixed = mixed.filter("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rows = shared.join(_small(roots), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    rows = rows.repartition("token")  # serves the grouping and the join below
+    same = [F.bit_xor(F.xxhash64("sid", F.lit(k))).alias(f"same{k}") for k in (0, 1)]
+    mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), *same).filter("low <> high")
+    mixed = mixed.groupBy("same0", "same1", "size").agg(F.min("token").alias("token"))
+    mixed = mixed.select("token", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    rows = materialize(rows.join(mixed, "token"), "mixed-shingles")
     signed = sets.mapInArrow(_sign, "sid bigint, signature binary")
-    rows = rows.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    signed = signed.join(rows.groupBy("sid").agg(F.collect_list("token").alias("tokens")), "sid")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "sid", "n", "block", "label").join(signed, "sid")
-    rows = rows.select("token", "i", "j", "sid", "n", "block", "label", "signature").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return rows.mapInArrow(_traverse(num, den), "a bigint, b bigint").distinct()
+    rows = rows.select("token", "i", "j", "sid", "n", "block", "label", "signature", "tokens").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return rows.mapInArrow(_traverse(num, den), "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
     """One row per document: key, n_shingles, component_id, and is_first (of each component one document).
 
     component_id is the least key reachable by links; null keys count as greatest, and a component of null keys has
@@ -339,23 +369,34 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int =
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).cast("bigint").alias("did"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    hot = spark.sparkContext.broadcast(_hot_bitmap(source, num, den))
+    hot = spark.sparkContext.broadcast(bitmap(_frequent(source), "token"))
     dealt = source.mapInArrow(_deal(hot, num, den), _ROWS)
-    met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(_meet, _MET), "shared-shingles")
-    members, shared = met.filter("member").select("did", "text_hash", "sid", "n"), met.filter("not member")
-
-    fits = (F.least("n", "lead_n") * den >= F.greatest("n", "lead_n") * num) & (F.col("sid") != F.col("lead"))
-    votes = shared.filter(fits).groupBy(F.col("sid").alias("b"), F.col("lead").alias("a")).agg(F.count("*").alias("votes"))
+    met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(_meet, _ROWS), "dealt-shingles")
+    release(spark)
+    members, shared = met.filter("member").select("did", "text_hash", "sid", "n"), met.filter("not member").select("token", "sid", "n", "first")
+
+    down, least = REACH[1], F.col("n") * ((REACH[0] - REACH[1]) * den + REACH[1] * num)
+    company = shared.groupBy("sid", "n").agg(F.count("*").alias("met")).filter(F.col("met") * (down * den) >= least).select("sid")
+    company = materialize(company, "sets-in-company")
+    marks = spark.sparkContext.broadcast(bitmap(company, "sid"))
+    shared = shared.select("token", "sid", "n", "first").mapInArrow(_only_marked(marks, 1), "token bigint, sid bigint, n bigint, first boolean")
+    by_token = shared.repartition("token")  # serves the grouping and the join
+    leaders = by_token.groupBy("token").agg(F.min("sid").alias("a"), F.min_by("n", "sid").alias("m"))
+    led = by_token.join(leaders, "token").filter((F.col("sid") != F.col("a")) & (F.least("n", "m") * den >= F.greatest("n", "m") * num))
+    votes = led.groupBy(F.col("sid").alias("b"), "a").agg(F.count("*").alias("votes"))
     pairs = materialize(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "leader-pairs")
-    nodes = shared.select("sid").distinct()
-    # one text of each set, by a key that no two documents share
-    chosen = members.filter("sid is not null").join(nodes, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("did", "text_hash")).alias("one"))
-    chosen = chosen.select("sid", F.coalesce("one.did", F.lit(-(1 << 63))).alias("did"), F.col("one.text_hash").alias("text_hash"))
-    texts = source.withColumn("did", F.coalesce("did", F.lit(-(1 << 63)))).join(chosen, ["did", "text_hash"]).dropDuplicates(["did", "text_hash"]).select("sid", "text")
-    sets = materialize(texts.mapInArrow(_as_sets, "sid bigint, shingles binary"), "shingle-sets")
+    shared = shared.filter("first").select("token", "sid", "n")
+    # one document of each set
+    row_mark = F.xxhash64("did", "text_hash")
+    chosen = members.join(company, "sid", "left_semi").groupBy("sid").agg(F.min(row_mark).alias("mark"))
+    wanted = spark.sparkContext.broadcast(bitmap(chosen, "mark"))
+    sets = source.select(row_mark.alias("mark"), "text").mapInArrow(_as_sets(wanted), "sid bigint, shingles binary")
+    sets = materialize(sets.mapInArrow(_only_marked(marks, 0), "sid bigint, shingles binary"), "shingle-sets")
+    release(spark)
 
     near = components(_links(pairs, sets, num, den), "a", "b")
-    candidates = _rest(shared, near, sets, num, den).join(pairs, ["a", "b"], "left_anti")
+    release(spark)
+    candidates = materialize(_rest(shared, near, sets, num, den, block).join(pairs, ["a", "b"], "left_anti"), "candidate-pairs")
     far = _links(candidates, sets, num, den)
     label = near.select(F.col("node").alias("sid"), F.col("root").alias("label"))
     ends = far
