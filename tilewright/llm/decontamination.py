@@ -11,7 +11,6 @@ the documents, so what is broadcast has a fixed bound however large the benchmar
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -207,8 +206,3 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
         out = out.mapInArrow(flags, docs.schema)
     return out
-
-
-def digest(items: list[str]) -> str:
-    """Reference form of items_sha256."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
