@@ -42,3 +42,17 @@ def test_awkward_rows(spark):
     assert D.decontaminate(df, none).count() == len(cases.rows())
     assert D.occurrences(df, none, ["doc_id"]).filter("size(starts) > 0").count() == 0
     assert D.occurrences(cases.empty(spark), bench, ["doc_id"]).count() == 0
+
+
+def test_awkward_rows_are_kept_apart_with_several_parts(spark):
+    """Repeated rows, null keys and texts that share a key: one result a row, however many parts the benchmark has."""
+    words = cases.rows()[0][1].split()
+    items = [(1, " ".join(words[:12])), (2, "w1"), (3, " ".join(words[1:13])), (4, "w7 w8")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").coalesce(1)
+    extra = [(0, "w7 w8 w9"), (0, "w1"), (None, "w1 w1"), (None, "w7 w8")]
+    rows = [(r[0], r[1]) for r in cases.rows()] + extra
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = D.occurrences(df, bench, ["doc_id"], part_words=5).withColumn("n_hit", D.covered_words("starts", "ends")).collect()
+    order = lambda x: (x[0] is None, str(x))
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found), key=order)
+    assert got == sorted(((i, *brute.contamination(t, items)) for i, t in rows), key=order)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._util import fresh, materialize
 from ._words import ALNUM, buffers, chunks, word_hashes
 
 WINDOW = 10
@@ -126,12 +127,15 @@ def _search_part(docs: DataFrame, key: list[str], text: str, searchers) -> DataF
     return docs.select(*key, text).mapInArrow(run, shape[len("struct<") : -1].replace("`:", "` "))
 
 
-def _merge(parts: list[DataFrame], key: list[str]) -> DataFrame:
+def _merge(parts: list[DataFrame], row: str, key: list[str]) -> DataFrame:
+    """The parts' findings of each row; after the first part only rows with findings are needed."""
     union = parts[0]
     for part in parts[1:]:
-        union = union.unionByName(part)
+        union = union.unionByName(part.filter(F.size("starts") > 0))
     flat = lambda c: F.flatten(F.collect_list(c)).alias(c)  # noqa: E731  bounded by the benchmark's parts
-    return union.groupBy(*key).agg(F.first("n_words").alias("n_words"), flat("starts"), flat("ends"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    same = [F.first(c).alias(c) for c in (*key, "n_words")]
+    found = union.groupBy(row).agg(*same, flat("starts"), flat("ends"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return found.drop(row)
 
 
 def _parts(benchmark: DataFrame, item: str, text: str, part_words: int) -> Iterator[list[tuple[str, str | None]]]:
@@ -148,18 +152,19 @@ def _parts(benchmark: DataFrame, item: str, text: str, part_words: int) -> Itera
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, key: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
-    """One row per document: key columns, n_words, starts, ends (word intervals of occurrences), items.
+    """One row per row of ``docs``: key columns, n_words, starts, ends (word intervals of occurrences), items.
 
-    ``key`` names a document; with a benchmark of several parts, rows equal in ``key`` count as one document and
-    must have equal texts. Null and empty texts have no words. A benchmark without words matches nothing.
+    ``key`` is carried along and need not name a row: repeated rows and null keys give a result each. With a benchmark
+    of several parts the rows are numbered and stored first, and their findings are gathered by that number.
+    Null and empty texts have no words. A benchmark without words matches nothing.
     """
     spark = docs.sparkSession
-    parts = []
-    for items in _parts(benchmark, item, item_text, part_words):
-        parts.append(_search_part(docs, key, text, spark.sparkContext.broadcast(compile_items(items, window))))
-    if not parts:
-        parts = [_search_part(docs, key, text, spark.sparkContext.broadcast([]))]
-    return parts[0] if len(parts) == 1 else _merge(parts, key)
+    compiled = [spark.sparkContext.broadcast(compile_items(items, window)) for items in _parts(benchmark, item, item_text, part_words)]
+    if len(compiled) < 2:
+        return _search_part(docs, key, text, compiled[0] if compiled else spark.sparkContext.broadcast([]))
+    row = fresh(docs, "_wm_row")
+    numbered = materialize(docs.select(F.monotonically_increasing_id().alias(row), *key, text), "numbered-documents")
+    return _merge([_search_part(numbered, [row, *key], text, searchers) for searchers in compiled], row, key)
 
 
 def covered(starts: Iterator[int], ends: Iterator[int]) -> int:
