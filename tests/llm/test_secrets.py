@@ -80,3 +80,22 @@ def test_long_streams_are_scanned_to_the_end(monkeypatch):
         assert ("assign", 4, 4 + len(hidden.rstrip("="))) in [(k, s, e - hidden.count("=")) for k, s, e in spans_of("see " + hidden)]
     broken = base64.b64encode(gzip.compress(plain.encode())[:60]).decode()
     assert S.scan(broken)[0] == []
+
+
+def test_glued_wrapped_and_damaged_regions():
+    b64 = lambda b: base64.b64encode(b).decode()
+    wrap = lambda t, end="\n": end.join(t[i : i + 76] for i in range(0, len(t), 76))
+    long = (" ".join(f"filler{k * k}" for k in range(200)) + " " + SECRET).encode()
+    hidden = [prefix + b64(pack(SECRET.encode())) for prefix in ("/v1/", "path/", "cfg_", "x-", "abcdefghijklmno/pq_") for pack in (bytes, gzip.compress, zlib.compress, bz2.compress)]
+    hidden += [prefix + wrap(b64(pack(long)), end) for prefix in ("", "cfg_") for end in ("\n", "\r\n", "\n  ") for pack in (bytes, gzip.compress, bz2.compress)]
+    hidden += [b64(b"\xff" + SECRET.encode()), b64(b"\0" * 50 + SECRET.encode() + b"\0\xe9"), "%FF" + urllib.parse.quote(SECRET, safe=""), urllib.parse.quote(SECRET, safe="") + "%E9", "k=" + b64(SECRET.encode()) + "/v2"]
+    for part in hidden:
+        text = f"é before {part} after"
+        at = text.index(part)
+        found = [x for x in spans_of(text) if x[0] == "assign"]
+        assert found, part
+        assert all(at <= s < e <= at + len(part) for _, s, e in found), part
+        left = S.redact(text, S.scan(text)[1], " ")
+        assert not [x for x in spans_of(left) if x[0] == "assign"], part
+    text = "cfg_" + b64("\u00e9".encode("latin-1") + SECRET.encode())  # byte 1 lies in characters 1 and 2 of the base64
+    assert [(s, e) for k, s, e in spans_of(text) if k == "assign"] == [(5, len(text))]

@@ -1,15 +1,16 @@
 """Operator 4, secret scans: a worklist of decoded layers, each rescanned, with spans mapped to the original text.
 
 The text is the first layer. Regions that look URL-encoded, Unicode-escaped or base64-encoded are decoded, and
-decoded bytes that start like gzip, zlib or bzip2 streams are unpacked; each result is a new layer that is scanned and
-searched for further encoded regions until the worklist is empty. A layer whose content has been seen under the
+gzip, zlib or bzip2 streams that begin anywhere in decoded bytes are unpacked; each result is a new layer that is scanned
+and searched for further encoded regions until the worklist is empty. A base64 run may be glued to a path or a name and
+broken into lines, so it is decoded from each of its first four characters and also joined across line breaks. Bytes
+that are no text become a layer, too, if a finding or a further region is in them. A layer whose content has been seen under the
 same document is not entered again, which ends cycles. Every layer carries, for each of its characters, the span of
 the original text that produced it, so a finding in any layer is reported in the original's code points.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import codecs
@@ -18,7 +19,7 @@ import itertools
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +35,14 @@ ASSIGN_LEAST = 6
 
 URL = re.compile(r"[A-Za-z0-9_.~!*'();:@&=+$,/?#\[\]-]*(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~!*'();:@&=+$,/?#\[\]-]*)+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+BASE64_LEAST = 16
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
+_STANDARD = str.maketrans("-_", "+/", "= \t\r\n")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh")
+_ESCAPED = re.compile("[\udc80-\udcff]")
+_STREAM = re.compile(b"|".join(map(re.escape, _MAGIC)))
 
 Span = tuple[int, int]
 
@@ -66,19 +73,45 @@ def _legible(text: str) -> bool:
     return sum(not (c.isprintable() or c in "\t\r\n") for c in text) * 20 <= len(text)
 
 
-def _from_bytes(raw: bytes, starts: array, ends: array) -> Layer | None:
-    """A layer of UTF-8 bytes, each with its origin; None where they are no text."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not _legible(text):
+def _runs(text: str) -> Iterator[tuple[re.Match, str, Sequence[int]]]:
+    """Base64 runs, those of one line and those joined across line breaks: match, characters, where each of them is."""
+    for m in BASE64.finditer(text):
+        body = m[0].translate(_STANDARD)
+        yield m, body, range(m.start(), m.start() + len(body))
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            body = m[0].translate(_STANDARD)
+            if len(body) >= BASE64_LEAST:
+                yield m, body, [i for i in range(m.start(), m.end()) if text[i] not in "= \t\r\n"]
+
+
+def _holds(text: str) -> bool:
+    """Whether a finding or an encoded region is in a text."""
+    return bool(_PERCENT.search(text) or ESCAPE.search(text) or base_spans(text)) or next(_runs(text), None) is not None
+
+
+def _from_bytes(raw: bytes, origin: Callable[[int], Span]) -> Layer | None:
+    """A layer of bytes as UTF-8; bytes that are not are replaced one by one. None where they are no text and hold nothing."""
+    text = raw.decode("utf-8", "surrogateescape")
+    plain = _ESCAPED.sub("\ufffd", text)
+    if (plain != text or not _legible(text)) and not _holds(plain):
         return None
-    if len(text) < len(raw):
-        firsts = [i for i, b in enumerate(raw) if b & 0xC0 != 0x80]
-        lasts = [*(i - 1 for i in firsts[1:]), len(raw) - 1]
-        starts, ends = array("q", (starts[i] for i in firsts)), array("q", (ends[i] for i in lasts))
-    return Layer(text, starts, ends)
+    starts, ends, i = array("q"), array("q"), 0
+    for c in text:
+        width = 1 if c < "\x80" or "\udc80" <= c <= "\udcff" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
+        starts.append(origin(i)[0])
+        ends.append(origin(i + width - 1)[1])
+        i += width
+    return Layer(plain, starts, ends)
+
+
+def _inside(raw: bytes, origin: Callable[[int], Span], end: int) -> Iterator[Layer]:
+    """Layers of decoded bytes: the streams that begin in them, each of which may reach to ``end``, and the bytes as text."""
+    for m in _STREAM.finditer(raw):
+        packed = (raw[i : i + OVERLAP] for i in range(m.start(), len(raw), OVERLAP))
+        yield from _unpacked(packed, (origin(m.start())[0], end))
+    if inner := _from_bytes(raw, origin):
+        yield inner
 
 
 def _url(layer: Layer, m: re.Match) -> Iterator[Layer]:
@@ -90,10 +123,7 @@ def _url(layer: Layer, m: re.Match) -> Iterator[Layer]:
         starts.append(start)
         ends.append(end)
         i += step
-    if inner := _from_bytes(bytes(raw), starts, ends):
-        yield inner
-    else:
-        yield from _unpacked(iter([bytes(raw)]), layer.original(m.start(), m.end()))
+    yield from _inside(bytes(raw), lambda k: (starts[k], ends[k]), layer.original(m.start(), m.end())[1])
 
 
 def _escapes(layer: Layer) -> Layer | None:
@@ -167,28 +197,13 @@ def _unpacked(packed: Iterator[bytes], span: Span) -> Iterator[Layer]:
         yield Layer(text, span=span)
 
 
-def _base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
-    body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return
-    try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return
-    if raw.startswith(_MAGIC):
-        yield from _unpacked(iter([raw]), layer.original(m.start(), m.end()))
-        return
-    try:
-        raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return
-    starts, ends = array("q"), array("q")
-    for i in range(len(raw)):  # byte i lies in characters i * 8 // 6 to the one that holds its last bit
-        start, end = layer.original(m.start() + i * 4 // 3, m.start() + (i * 8 + 7) // 6 + 1)
-        starts.append(start)
-        ends.append(end)
-    if inner := _from_bytes(raw, starts, ends):
-        yield inner
+def _base64(layer: Layer, m: re.Match, body: str, at: Sequence[int]) -> Iterator[Layer]:
+    end = layer.original(m.start(), m.end())[1]
+    for skip in range(4):  # a run that begins later is aligned with one of these
+        size = len(body) - skip
+        raw = binascii.a2b_base64(body[skip : len(body) - (size % 4 == 1)] + "=" * (-size % 4 if size % 4 > 1 else 0))
+        # byte i lies in characters i * 8 // 6 to the one that holds its last bit
+        yield from _inside(raw, lambda i, skip=skip: layer.original(at[skip + i * 4 // 3], at[skip + (i * 8 + 7) // 6] + 1), end)
 
 
 def _deeper(layer: Layer) -> Iterator[Layer]:
@@ -198,8 +213,8 @@ def _deeper(layer: Layer) -> Iterator[Layer]:
             yield from _url(layer, m)
     if ("\\" in text or "&#" in text) and ESCAPE.search(text) and (inner := _escapes(layer)):
         yield inner
-    for m in BASE64.finditer(text):
-        yield from _base64(layer, m)
+    for run in _runs(text):
+        yield from _base64(layer, *run)
 
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
