@@ -76,3 +76,27 @@ def test_components(spark):
     want = brute.roots(nodes, [p for p in links if None not in p])
     assert got == {n: r for n, r in want.items() if n != r}
     assert components(df.filter("a < 0"), "a", "b").count() == 0
+
+
+@pytest.mark.parametrize(("seed", "block"), [(4, J.BLOCK), (5, 3)])
+def test_links_are_complete(spark, monkeypatch, seed, block):
+    """Every link between distinct sets, in a dense group too, where components need a spanning part only."""
+    monkeypatch.setattr(J, "PAIRS", 7)
+    rng = random.Random(seed)
+    rows = corpus(seed)
+    dense = [f"d{k}" for k in range(200)]
+    for i in range(30):
+        w = list(dense)
+        w[rng.randrange(200)] = f"x{i}"
+        rows.append((3001 + 2 * i, " ".join(w)))
+    rows.append((3101, rows[-1][1].upper()))
+    sets = {i: brute.shingles(t) for i, t in rows}
+    want = {(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and J.similar(len(sets[i] & sets[j]), len(sets[i]), len(sets[j]), J.NUM, J.DEN)}
+    members, pairs = J.links(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), block=block)
+    of = {r.doc_id: (r.n_shingles, r.set_id) for r in members.collect()}
+    found = [(r.a, r.b) for r in pairs.collect()]
+    assert len(set(found)) == len(found) and all(a < b for a, b in found)
+    linked = set(found) | {(b, a) for a, b in found}
+    got = {(i, j) for i in of for j in of if i < j and of[i][1] is not None and (of[i][1] == of[j][1] or (of[i][1], of[j][1]) in linked)}
+    assert got == want and {i: n for i, (n, _) in of.items()} == {i: len(s) for i, s in sets.items()}
+    assert J.links(cases.empty(spark))[1].count() == 0

@@ -17,6 +17,9 @@ is at least t = NUM/DEN. The join is exact on those hashes:
    possible overlap is too small; the pairs of sets left, across components only, are compared by their shingles.
    A shingle with more sets than BLOCK is split into blocks, and each pair of blocks is traversed.
 5. Components of the links found become components of documents.
+
+``links`` returns every link: it skips step 3, and in step 4 all shingles shared by two sets remain, so that each pair
+of sets is compared, those of one component too. The leader step serves components only.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,7 @@ BROADCAST_ROWS = 500_000
 BLOCK = 4096
 SIGNATURE_BITS = 2048
 LEAF = 8
+PAIRS = 1 << 16
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
@@ -325,6 +330,9 @@ def _traverse(num: int, den: int):
                 if x[6] != y[6] and not (across and x[5] == y[5]) and before[i].isdisjoint(before[j]):
                     a.append(min(x[3], y[3]))
                     b.append(max(x[3], y[3]))
+                    if len(a) == PAIRS:
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                        a, b = [], []
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -359,13 +367,8 @@ def _rest(shared: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: i
     return rows.mapInArrow(_traverse(num, den), "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
-    """One row per document: key, n_shingles, component_id, and is_first (of each component one document).
-
-    component_id is the least key reachable by links; null keys count as greatest, and a component of null keys has
-    none. A null, empty or blank text has an empty set and is linked with nothing. Rows equal in key and text
-    are one document, and is_first is true for each of them. Other columns are ignored.
-    """
+def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Broadcast]:
+    """Source, members (did, text_hash, sid, n), dealt shingles of the sets in company, those sets, and their marks."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).cast("bigint").alias("did"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
@@ -380,18 +383,36 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int =
     company = materialize(company, "sets-in-company")
     marks = spark.sparkContext.broadcast(bitmap(company, "sid"))
     shared = shared.select("token", "sid", "n", "first").mapInArrow(_only_marked(marks, 1), "token bigint, sid bigint, n bigint, first boolean")
+    return source, members, shared, company, marks
+
+
+def _chosen(source: DataFrame, members: DataFrame, company: DataFrame, marks: Broadcast) -> DataFrame:
+    """(sid, shingles) of the sets in company, stored."""
+    spark = source.sparkSession
+    # one document of each set
+    row_mark = F.xxhash64("did", "text_hash")
+    chosen = members.join(company, "sid", "left_semi").groupBy("sid").agg(F.min(row_mark).alias("mark"))
+    wanted = spark.sparkContext.broadcast(bitmap(chosen, "mark"))
+    sets = source.select(row_mark.alias("mark"), "text").mapInArrow(_as_sets(wanted), "sid bigint, shingles binary")
+    return materialize(sets.mapInArrow(_only_marked(marks, 0), "sid bigint, shingles binary"), "shingle-sets")
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
+    """One row per document: key, n_shingles, component_id, and is_first (of each component one document).
+
+    component_id is the least key reachable by links; null keys count as greatest, and a component of null keys has
+    none. A null, empty or blank text has an empty set and is linked with nothing. Rows equal in key and text
+    are one document, and is_first is true for each of them. Other columns are ignored.
+    """
+    spark = docs.sparkSession
+    source, members, shared, company, marks = _dealt(docs, key, text, num, den)
     by_token = shared.repartition("token")  # serves the grouping and the join
     leaders = by_token.groupBy("token").agg(F.min("sid").alias("a"), F.min_by("n", "sid").alias("m"))
     led = by_token.join(leaders, "token").filter((F.col("sid") != F.col("a")) & (F.least("n", "m") * den >= F.greatest("n", "m") * num))
     votes = led.groupBy(F.col("sid").alias("b"), "a").agg(F.count("*").alias("votes"))
     pairs = materialize(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "leader-pairs")
     shared = shared.filter("first").select("token", "sid", "n")
-    # one document of each set
-    row_mark = F.xxhash64("did", "text_hash")
-    chosen = members.join(company, "sid", "left_semi").groupBy("sid").agg(F.min(row_mark).alias("mark"))
-    wanted = spark.sparkContext.broadcast(bitmap(chosen, "mark"))
-    sets = source.select(row_mark.alias("mark"), "text").mapInArrow(_as_sets(wanted), "sid bigint, shingles binary")
-    sets = materialize(sets.mapInArrow(_only_marked(marks, 0), "sid bigint, shingles binary"), "shingle-sets")
+    sets = _chosen(source, members, company, marks)
     release(spark)
 
     near = components(_links(pairs, sets, num, den), "a", "b")
@@ -417,6 +438,21 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int =
     return linked.unionByName(alone).select(F.col("did").cast(kind).alias(key), F.col("n").alias("n_shingles"), F.col("component_id").cast(kind).alias("component_id"), "is_first", "text_hash")
 
 
+def links(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """All links: (key, n_shingles, set_id) of each row, and (a, b), a < b, once for each two distinct sets that link.
+
+    Rows with equal set_id have equal sets and are linked by that; an empty set has set_id null and links with nothing.
+    The links of a group grow with the square of its distinct sets; no pair is left out.
+    """
+    source, members, shared, company, marks = _dealt(docs, key, text, num, den)
+    shared = shared.filter("first").select("token", "sid", "n")
+    sets = _chosen(source, members, company, marks)
+    apart = company.filter("false").select(F.col("sid").alias("node"), F.col("sid").alias("root"))
+    candidates = materialize(_rest(shared, apart, sets, num, den, block), "candidate-pairs")
+    rows = members.select(F.col("did").cast(docs.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"))
+    return rows, _links(candidates, sets, num, den).distinct()
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs`` with one document of each component, the one of least key; of rows equal in key and text one stays."""
     found = classes(docs, key, text, num, den).filter("is_first")
