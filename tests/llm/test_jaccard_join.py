@@ -100,3 +100,14 @@ def test_links_are_complete(spark, monkeypatch, seed, block):
     got = {(i, j) for i in of for j in of if i < j and of[i][1] is not None and (of[i][1] == of[j][1] or (of[i][1], of[j][1]) in linked)}
     assert got == want and {i: n for i, (n, _) in of.items()} == {i: len(s) for i, s in sets.items()}
     assert J.links(cases.empty(spark))[1].count() == 0
+
+
+def test_low_thresholds_lose_no_link(spark):
+    """A text of one shingle in a text of four: similarity 1/4, by a shingle that may come last in the order."""
+    texts = [[f"v{i}x{k}" for k in range(8)] for i in range(30)]
+    rows = [(2 * i + j, " ".join(w[: 5 + 3 * j])) for i, w in enumerate(texts) for j in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in J.classes(df, num=25).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+    with pytest.raises(ValueError, match="threshold"):
+        J.classes(df, num=0)

@@ -4,7 +4,7 @@ A document is the set of its distinct five-word shingles (64-bit hashes). Two se
 is at least t = NUM/DEN. The join is exact on those hashes:
 
 1. Equal sets are one node, named by a hash of the set.
-2. The first REACH of each set's n shingles are dealt out by shingle. Shingles are taken in hash order, those marked as
+2. The first REACH of each set's n shingles, or (1 - t) * n + 1 if that is more, are dealt out by shingle. Shingles are taken in hash order, those marked as
    frequent last; the marks are a bitmap of fixed size, made from a sample, and only change the order, never the result.
    Of two linked sets, let a be the one whose dealt shingles end first. They share t * n of a's shingles or more, and all
    but (1 - REACH) * n of those are dealt out by both sides. So a set with fewer than (REACH - 1 + t) * n
@@ -75,26 +75,26 @@ def in_order(shingles: np.ndarray, hot: np.ndarray | None) -> np.ndarray:
     return np.concatenate([shingles[~often], shingles[often]])
 
 
-def reach(n: int) -> int:
-    """How many of n shingles are dealt out."""
-    return min(n, -(-n * REACH[0] // REACH[1]) + 1)
-
-
 def core(n: int, num: int, den: int) -> int:
     """Of how many first shingles two linked sets share one."""
     return n - -(-n * num // den) + 1
 
 
+def reach(n: int, num: int, den: int) -> int:
+    """How many of n shingles are dealt out: REACH of them, and the core at least, which is more at low thresholds."""
+    return max(min(n, -(-n * REACH[0] // REACH[1]) + 1), core(n, num, den))
+
+
 def similar(shared: int, a: int, b: int, num: int, den: int) -> bool:
     return shared * den >= num * (a + b - shared)
 
 
-def _frequent(source: DataFrame) -> DataFrame:
+def _frequent(source: DataFrame, num: int, den: int) -> DataFrame:
     """(token) of the shingles dealt out SAMPLE_HITS times or more by one text in SAMPLE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [s[: reach(len(s))] for s in sets_of(batch.column(0)) if len(s)]
+            parts = [s[: reach(len(s), num, den)] for s in sets_of(batch.column(0)) if len(s)]
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["token"])
 
@@ -120,7 +120,7 @@ def _deal(hot, num: int, den: int):
                 sizes.append(n)
                 if n and sid not in dealt:
                     dealt.add(sid)
-                    part = in_order(shingles, hot.value)[: reach(n)]
+                    part = in_order(shingles, hot.value)[: reach(n, num, den)]
                     tokens.append(part)
                     owners.append(np.full(len(part), sid, np.int64))
                     counts.append(np.full(len(part), n, np.int64))
@@ -369,10 +369,12 @@ def _rest(shared: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: i
 
 def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Broadcast]:
     """Source, members (did, text_hash, sid, n), dealt shingles of the sets in company, those sets, and their marks."""
+    if not 0 < num <= den:
+        raise ValueError(f"the threshold {num}/{den} is not above 0 and at most 1")
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).cast("bigint").alias("did"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    hot = spark.sparkContext.broadcast(bitmap(_frequent(source), "token"))
+    hot = spark.sparkContext.broadcast(bitmap(_frequent(source, num, den), "token"))
     dealt = source.mapInArrow(_deal(hot, num, den), _ROWS)
     met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(_meet, _ROWS), "dealt-shingles")
     release(spark)
