@@ -43,6 +43,19 @@ def test_approve_and_deny_split_the_rows(spark, counts, broadcast_keys):
     assert views.select_views(counts, none, True, compat_empty_approve=True).count() == counts.count()
 
 
+@pytest.mark.parametrize("broadcast_keys", [10, 0])
+def test_counts_of_views_are_the_split_counts(spark, records, counts, broadcast_keys):
+    some = spark.createDataFrame([("0:0",), ("1:1",)], "mapKey string")
+    for approve in (True, False):
+        got = views.counts_of_views(records, some, approve, broadcast_keys=broadcast_keys)
+        want = views.select_views(counts, some, approve)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plan = views.counts_of_views(records, some, True, broadcast_keys=broadcast_keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.index("Aggregate") < plan.index("Join")) == bool(broadcast_keys)  # the plan's lowest part comes last
+    none = some.filter("mapKey = ''")
+    assert views.counts_of_views(records, none, True).count() == 0 and views.counts_of_views(records, none, True, compat_empty_approve=True).count() == counts.count()
+
+
 def exchanges(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0].count("Exchange hashpartitioning")
@@ -100,7 +113,7 @@ def test_manifest_from_args(tmp_path):
 def test_build_and_lifecycle(spark, tmp_path, counts, records):
     source = fixtures.occurrences(spark, SMALL)
     source.write.parquet(f"{tmp_path}/source")
-    config = Config(source=f"{tmp_path}/source", target=f"file://{tmp_path}/maps", threshold=1000, salt_modulus=4, max_zoom=2, projections=(4326, 3031))
+    config = Config(source=f"{tmp_path}/source", target=f"file://{tmp_path}/maps", threshold=1000, salt_modulus=4, max_zoom=2, partitions=3, projections=(4326, 3031))
     store = build.run(spark, Manifest("tiles", "20200101_0000", config))
     build.run(spark, Manifest("points", "20200101_0000", config))
     assert lifecycle.live(store) == {"tiles": "maps_tiles_20200101_0000", "points": "maps_points_20200101_0000"}
@@ -128,6 +141,41 @@ def test_build_and_lifecycle(spark, tmp_path, counts, records):
     assert lifecycle.load(store, m.table) == m
 
 
+def test_sources_may_be_globs_and_nested(spark, tmp_path):
+    store = lifecycle.Store(spark, f"file://{tmp_path}/maps")
+    for day in (1, 2):
+        spark.range(day).withColumn("country", F.lit("DK")).write.partitionBy("country").parquet(f"{tmp_path}/in/day{day}")
+    spark.range(9).write.parquet(f"{tmp_path}/in/_draft")
+    with lifecycle.pinned(store, f"{tmp_path}/in") as files:
+        assert len({f.split("/day")[1][0] for f in files}) == 2 and all("country=DK" in f and f.endswith(".parquet") for f in files)
+        with pytest.raises(BlockingIOError), lifecycle.pinned(store, f"{tmp_path}/in"):
+            pass
+    with lifecycle.pinned(store, f"{tmp_path}/in/day[2]") as files:
+        assert occurrences.read(spark, files).count() == 2
+    with pytest.raises(FileNotFoundError), lifecycle.pinned(store, f"{tmp_path}/nothing*"):
+        pass
+
+
+def test_publishing_replaces_the_pointer_in_one_step(spark, tmp_path):
+    store = lifecycle.Store(spark, f"file://{tmp_path}")
+    for stamp in ("20200101_0000", "20200102_0000"):
+        lifecycle.publish(store, Manifest("tiles", stamp, Config()))
+        assert lifecycle.live(store)["tiles"] == f"maps_tiles_{stamp}"
+    assert [f for f in store.files(store.target) if "live" in f] == [f"file:{tmp_path}/live_tiles.json"]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tilewright.sources import shared
+
+    fake = lambda master, named: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: named), sparkContext=SimpleNamespace(master=master))
+    assert shared.shared_dir(fake("spark://h:1", "hdfs://h/ck/")) == "hdfs://h/ck" and shared.shared_dir(fake("local[4]", None)).startswith("file:///")
+    for master in ("spark://h:1", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="share"):
+            shared.shared_dir(fake(master, None))
+
+
 def test_lock_and_clean(spark, tmp_path):
     store = lifecycle.Store(spark, f"file://{tmp_path}")
     with lifecycle.locked(store, "x"):

@@ -1,4 +1,5 @@
 import math
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -114,6 +115,77 @@ def test_vector_tile_round_trip(tile):
     assert set(wire.read_vector_tile(data)) == want and data == wire.vector_tile(rows[::-1])
 
 
+def decoded(data):
+    """A vector tile read by the specification, with nothing of the package: {layer: {(x, y): {year: count}}}."""
+
+    def numbers(raw):
+        out, value, shift = [], 0, 0
+        for byte in raw:
+            value += (byte % 128) * 2**shift
+            shift += 7
+            if byte < 128:
+                out.append(value)
+                value = shift = 0
+        return out
+
+    def message(raw):
+        found = {}
+        while raw:
+            size = next(i for i, b in enumerate(raw) if b < 128) + 1
+            field, kind = divmod(numbers(raw[:size])[0], 8)
+            raw = raw[size:]
+            size = next(i for i, b in enumerate(raw) if b < 128) + 1
+            value, raw = numbers(raw[:size])[0], raw[size:]
+            if kind == 2:
+                value, raw = raw[:value], raw[value:]
+            found.setdefault(field, []).append(value)
+        return found
+
+    tile = {}
+    for raw in message(data).get(3, []):
+        layer = message(raw)
+        assert layer[15] == [2] and len(layer[1]) == len(layer[5]) == 1
+        keys, values = [k.decode() for k in layer[3]], [message(v)[4][0] for v in layer[4]]
+        points = tile.setdefault(layer[1][0].decode(), {})
+        for feature in map(message, layer[2]):
+            assert feature[3] == [1]
+            command, *at = numbers(feature[4][0])
+            assert command == 9  # one MoveTo
+            tags = numbers(feature[2][0])
+            points[tuple(v // 2 if v % 2 == 0 else -(v + 1) // 2 for v in at)] = {keys[a]: values[b] for a, b in zip(tags[::2], tags[1::2], strict=True)}
+    return tile
+
+
+@given(pixels)
+@settings(max_examples=60, deadline=None)
+def test_vector_tile_is_read_by_another_decoder(tile):
+    rows = [{"x": x, "y": y, "features": [{"borYear": yr * 100 + b, "occCount": n} for (yr, b), n in counts.items()]} for (x, y), counts in tile.items()]
+    names = {v: k for k, v in bor_year.CODES.items()}
+    want = {}
+    for (x, y), counts in tile.items():
+        for (yr, b), n in counts.items():
+            want.setdefault(names[b], {}).setdefault((x, y), {})[str(yr) if yr else "null"] = n
+    assert decoded(wire.vector_tile(rows)) == want
+
+
+def test_a_full_tile_is_encoded_in_seconds():
+    began = time.time()
+    data = wire.vector_tile({"x": k % 640 - 64, "y": k // 640 - 64, "features": [{"borYear": 200003, "occCount": k}]} for k in range(400_000))
+    assert time.time() - began < 20 and len(data) > 400_000 * 8
+
+
+def test_tiles_are_streamed(spark, monkeypatch):
+    """Tiles made row by row are those made from lists, whatever the batches."""
+    monkeypatch.setattr(wire, "ENCODED_BYTES", 200)
+    rows = [(k, t, 0, x, y, b, y * 100 + c, n) for k in ("0:0", "1:5") for t in (0, 1, 2) for x in (-3, 5, 500) for y in (0, 7) for b, c in (("HUMAN_OBSERVATION", 3), ("FOSSIL_SPECIMEN", 8)) for n in (x * x + c,)]
+    df = spark.createDataFrame(rows, "mapKey string, tileX int, tileY int, pixelX int, pixelY int, layer string, borYear int, occCount bigint")
+    got = {(r.mapKey, r.tileX): decoded(bytes(r.value)) for r in wire.encode_tiles(df).collect()}
+    want = {}
+    for k, t, _, x, y, b, code, n in rows:
+        want.setdefault((k, t), {}).setdefault(b, {}).setdefault((x, y), {})[str(code // 100) if code >= 100 else "null"] = n
+    assert got == want and wire.encode_tiles(df.limit(0)).count() == 0
+
+
 def test_point_features_round_trip():
     rows = [{"lat": -1.5, "lng": 180.0, "borYear": 199903, "occCount": 7}, {"lat": 90.0, "lng": -0.25, "borYear": 8, "occCount": 1}]
     assert wire.read_point_features(wire.point_features(rows)) == [(-1.5, 180.0, 3, 1999), (90.0, -0.25, 8, 0)]

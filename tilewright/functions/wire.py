@@ -12,9 +12,15 @@ from .bor_year import CODES
 
 _NAMES = {v: k for k, v in CODES.items()}
 POINT = 1
+ENCODED_BYTES = 4 << 20
+
+
+_ONE = [bytes([k]) for k in range(128)]
 
 
 def varint(n: int) -> bytes:
+    if 0 <= n < 128:
+        return _ONE[n]
     n &= (1 << 64) - 1
     out = bytearray()
     while n > 0x7F:
@@ -42,17 +48,51 @@ def split_code(bor_year: int) -> tuple[str | None, int | None]:
     return _NAMES.get(bor_year - whole * 100), whole if whole > 0 else None
 
 
-def _layer(name: str, points: dict[tuple[int, int], dict[str, int]], extent: int) -> bytes:
-    keys: dict[str, int] = {}
-    values: dict[int, int] = {}
-    body = tagged(15, 0, 2) + tagged(1, 2, name.encode())
-    for (x, y), counts in sorted(points.items()):
-        tags = b"".join(varint(keys.setdefault(k, len(keys))) + varint(values.setdefault(v, len(values))) for k, v in sorted(counts.items()))
-        shape = varint(1 | 1 << 3) + varint(zigzag(x)) + varint(zigzag(y))
-        body += tagged(2, 2, tagged(2, 2, tags) + tagged(3, 0, POINT) + tagged(4, 2, shape))
-    body += b"".join(tagged(3, 2, k.encode()) for k in keys)
-    body += b"".join(tagged(4, 2, tagged(4, 0, v)) for v in values)
-    return body + tagged(5, 0, extent)
+class TileWriter:
+    """A vector tile made from counts that come in the order of layer, then point; each byte is written once."""
+
+    def __init__(self, extent: int = 512):
+        self.extent, self.out = extent, bytearray()
+        self.name: str | None = None
+        self.at: tuple[int, int] | None = None
+
+    def add(self, layer: str, x: int, y: int, year: str, count: int) -> None:
+        if layer != self.name:
+            self._end_layer()
+            self.name, self.body = layer, bytearray(tagged(15, 0, 2) + tagged(1, 2, layer.encode()))
+            self.keys: dict[str, int] = {}
+            self.values: dict[int, int] = {}
+        if (x, y) != self.at:
+            self._end_point()
+            self.at, self.counts = (x, y), {}
+        self.counts[year] = count
+
+    def _end_point(self) -> None:
+        if self.at is not None:
+            tags, keys, values = bytearray(), self.keys, self.values
+            for year, count in sorted(self.counts.items()):
+                tags += varint(keys.setdefault(year, len(keys))) + varint(values.setdefault(count, len(values)))
+            shape = varint(1 | 1 << 3) + varint(zigzag(self.at[0])) + varint(zigzag(self.at[1]))
+            self.body += tagged(2, 2, tagged(2, 2, bytes(tags)) + tagged(3, 0, POINT) + tagged(4, 2, shape))
+            self.at = None
+
+    def _end_layer(self) -> None:
+        self._end_point()
+        if self.name is not None:
+            self.body += b"".join(tagged(3, 2, k.encode()) for k in self.keys)
+            self.body += b"".join(tagged(4, 2, tagged(4, 0, v)) for v in self.values)
+            self.body += tagged(5, 0, self.extent)
+            self.out += varint(3 << 3 | 2) + varint(len(self.body))
+            self.out += self.body
+            self.name = None
+
+    def finish(self) -> bytes:
+        self._end_layer()
+        return bytes(self.out)
+
+
+def year_label(year: int | None) -> str:
+    return "null" if year is None else str(year)
 
 
 def vector_tile(pixels: Iterable[dict], extent: int = 512) -> bytes:
@@ -60,15 +100,52 @@ def vector_tile(pixels: Iterable[dict], extent: int = 512) -> bytes:
 
     One layer for each basis of record, one point for each pixel and basis, an attribute for each year with its
     count; without a year the attribute is "null". Layers, points and attributes are sorted, so equal tiles have
-    equal bytes. If a year is there twice for a pixel and basis, the last counts.
+    equal bytes. If a year is there twice for a pixel and basis, the greatest code's count holds.
+    """
+    tile = TileWriter(extent)
+    rows = [(str(split_code(f["borYear"])[0]), p["x"], p["y"], f["borYear"], f["occCount"]) for p in pixels for f in p["features"]]
+    for layer, x, y, code, count in sorted(rows):
+        tile.add(layer, x, y, year_label(split_code(code)[1]), count)
+    return tile.finish()
+
+
+def encode_tiles(rows: DataFrame, extent: int = 512) -> DataFrame:
+    """(mapKey, tileX, tileY, value) from rows (mapKey, tileX, tileY, pixelX, pixelY, layer, borYear, occCount).
+
+    A tile's rows are sorted and streamed through a writer, so a task holds one tile's bytes, and no list of its pixels, however
+    many records a view has.
     """
-    layers: dict[str, dict[tuple[int, int], dict[str, int]]] = {}
-    for p in pixels:
-        for f in p["features"]:
-            basis, year = split_code(f["borYear"])
-            at = layers.setdefault(str(basis), {}).setdefault((p["x"], p["y"]), {})
-            at["null" if year is None else str(year)] = f["occCount"]
-    return b"".join(tagged(3, 2, _layer(name, points, extent)) for name, points in sorted(layers.items()))
+    columns = ("mapKey", "tileX", "tileY", "layer", "pixelX", "pixelY", "borYear", "occCount")
+    dealt = rows.select(*columns).repartition("mapKey", "tileX", "tileY").sortWithinPartitions(*columns[:7])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[tuple] = []
+        size, last, tile = 0, None, TileWriter(extent)
+        labels: dict[int, str] = {}
+
+        def flush() -> pa.RecordBatch:
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)], [*columns[:3], "value"])
+
+        for batch in batches:
+            for first in range(0, batch.num_rows, 10_000):
+                for key, tx, ty, layer, x, y, code, count in zip(*[c.to_pylist() for c in batch.slice(first, 10_000).columns], strict=True):
+                    if (key, tx, ty) != last:
+                        if last is not None:
+                            made.append((*last, tile.finish()))
+                            size += len(made[-1][3])
+                            if size > ENCODED_BYTES:
+                                yield flush()
+                                made, size = [], 0
+                        last, tile = (key, tx, ty), TileWriter(extent)
+                    if code not in labels:
+                        labels[code] = year_label(split_code(code)[1])
+                    tile.add(layer, x, y, labels[code], count)
+        if last is not None:
+            made.append((*last, tile.finish()))
+            yield flush()
+
+    return dealt.mapInArrow(run, "mapKey string, tileX int, tileY int, value binary")
 
 
 def point_features(features: Iterable[dict]) -> bytes:

@@ -9,7 +9,7 @@ from ..functions.bor_year import basis_of_record, year
 from ..functions.keys import salted, tile_key
 from ..functions.projection import global_pixel, plottable
 from ..functions.tiling import addresses
-from ..functions.wire import encode_column, vector_tile
+from ..functions.wire import encode_tiles
 
 
 def place_pixels(counts: DataFrame, epsg: int, zoom: int, tile_size: int = 512) -> DataFrame:
@@ -45,9 +45,10 @@ def tile_rows(pixels: DataFrame, epsg: int, zoom: int, tile_size: int = 512, buf
 
 
 def assemble(rows: DataFrame, zoom: int) -> DataFrame:
-    """(mapKey, z, tileX, tileY, tile): tile is the sorted list of pixels {x, y, features}.
+    """(mapKey, z, tileX, tileY, tile): tile is the sorted list of pixels {x, y, features}, for looking at tiles as rows.
 
-    A tile holds at most (tile size + 2 buffers) squared pixels, which bounds the list whatever the input.
+    The list has at most (tile size + 2 buffers) squared pixels, each with its counts by basis and year. Builds
+    encode tiles with ``cells``, which makes no such list.
     """
     rows = rows.repartition("mapKey", "tileX", "tileY")  # serves both groupings below; lists have nothing to combine earlier
     pixel = rows.groupBy("mapKey", "tileX", "tileY", "pixelX", "pixelY").agg(F.sort_array(F.collect_list(F.struct("borYear", "occCount"))).alias("features"))
@@ -55,12 +56,12 @@ def assemble(rows: DataFrame, zoom: int) -> DataFrame:
     return pixel.groupBy("mapKey", "tileX", "tileY").agg(F.sort_array(F.collect_list(entry)).alias("tile")).withColumn("z", F.lit(zoom))
 
 
-def cells(tiles: DataFrame, epsg: int, modulus: int, tile_size: int = 512) -> DataFrame:
-    """(row_key, family, qualifier, value, z): each tile's vector encoding under its salted key."""
-    key = salted(tile_key(F.col("mapKey"), F.col("z"), F.col("tileX"), F.col("tileY")), modulus)
-    keyed = tiles.select(key.alias("row_key"), "z", "tile")
-    encoded = encode_column(keyed, "tile", lambda t: vector_tile(t, tile_size), ["row_key", "z"])
-    return encoded.select("row_key", F.lit(f"EPSG_{epsg}").alias("family"), F.lit("tile").alias("qualifier"), "value", "z")
+def cells(rows: DataFrame, epsg: int, zoom: int, modulus: int, tile_size: int = 512) -> DataFrame:
+    """(row_key, family, qualifier, value, z): the vector encoding of each tile of ``tile_rows`` under its salted key."""
+    layer = F.coalesce(basis_of_record(F.col("borYear")), F.lit("None"))
+    encoded = encode_tiles(rows.withColumn("layer", layer), tile_size)
+    key = salted(tile_key(F.col("mapKey"), F.lit(zoom), F.col("tileX"), F.col("tileY")), modulus)
+    return encoded.select(key.alias("row_key"), F.lit(f"EPSG_{epsg}").alias("family"), F.lit("tile").alias("qualifier"), "value", F.lit(zoom).alias("z"))
 
 
 def layer_attributes(rows: DataFrame) -> DataFrame:

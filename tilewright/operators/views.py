@@ -26,33 +26,62 @@ def at_least(sizes: DataFrame, threshold: int) -> DataFrame:
     return sizes.filter(F.col("occCount") >= threshold)
 
 
+def _compact(records: DataFrame, strict: bool) -> DataFrame:
+    compact = records.select(
+        *_KEY_COLUMNS, F.col("decimalLatitude").alias("lat"), F.col("decimalLongitude").alias("lng"), encode(F.col("basisOfRecord"), F.col("year"), strict).alias("borYear")
+    )
+    return compact if strict else compact.filter(F.col("borYear").isNotNull())
+
+
+def _sum_places(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("mapKey", "lat", "lng", "borYear").agg(F.count("*").alias("occCount"))
+
+
 def counts_by_location(records: DataFrame, strict: bool = True) -> DataFrame:
     """(mapKey, lat, lng, borYear, occCount): records of each view by place and encoded basis and year.
 
     ``strict``: an unknown basis of record fails the query; otherwise such records are left out.
     """
-    compact = records.select(
-        *_KEY_COLUMNS, F.col("decimalLatitude").alias("lat"), F.col("decimalLongitude").alias("lng"), encode(F.col("basisOfRecord"), F.col("year"), strict).alias("borYear")
-    )
-    if not strict:
-        compact = compact.filter(F.col("borYear").isNotNull())
-    return fan_out(compact).groupBy("mapKey", "lat", "lng", "borYear").agg(F.count("*").alias("occCount"))
+    return _sum_places(fan_out(_compact(records, strict)))
+
+
+def counts_of_views(records: DataFrame, keys: DataFrame, approve: bool, strict: bool = True, compat_empty_approve: bool = False, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """``counts_by_location`` of the views among ``keys`` (approve), or of the others.
+
+    Few keys are broadcast and drop rows as they are fanned out, before the sums and their shuffle. More are joined by
+    shuffle after the sums.
+    """
+    keys, few = _measured(keys, broadcast_keys)
+    if few is not None:
+        return _sum_places(_split(fan_out(_compact(records, strict)), keys, few, approve, compat_empty_approve))
+    return _split(counts_by_location(records, strict), keys, few, approve, compat_empty_approve)
+
+
+def _measured(keys: DataFrame, most: int) -> tuple[DataFrame, list | None]:
+    """The distinct keys, and the list of them if they are ``most`` or fewer."""
+    keys = keys.select("mapKey").distinct()
+    found = keys.limit(most + 1).collect()
+    return keys, (None if len(found) > most else found)
+
+
+def _split(rows: DataFrame, keys: DataFrame, few: list | None, approve: bool, compat_empty_approve: bool) -> DataFrame:
+    if few is not None:
+        if not few and (compat_empty_approve or not approve):
+            return rows
+        keys = F.broadcast(rows.sparkSession.createDataFrame(few, "mapKey string"))
+    return rows.join(keys, "mapKey", "left_semi" if approve else "left_anti")
 
 
 def select_views(rows: DataFrame, keys: DataFrame, approve: bool, compat_empty_approve: bool = False, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Rows whose mapKey is among ``keys`` (approve), or is not (deny).
 
     No keys: approve gives nothing and deny gives all; with ``compat_empty_approve`` approve gives all, too.
-    The keys are broadcast after a count shows they are few enough; more keys are shuffled, which suits aggregated rows,
-    where no key of a view is hot any more than its number of places.
+    Up to ``broadcast_keys`` keys are read once and broadcast; more are shuffled.
     """
-    keys = keys.select("mapKey").distinct()
-    n = keys.limit(broadcast_keys + 1).count()
-    if not n and (compat_empty_approve or not approve):
-        return rows
-    return rows.join(F.broadcast(keys) if n <= broadcast_keys else keys, "mapKey", "left_semi" if approve else "left_anti")
+    return _split(rows, *_measured(keys, broadcast_keys), approve, compat_empty_approve)
 
 
+# The columns of the record model that name views.
 _KEY_COLUMNS = (
     "kingdomKey", "phylumKey", "classKey", "orderKey", "familyKey", "genusKey", "speciesKey", "taxonKey",
     "datasetKey", "publishingOrgKey", "countryCode", "publishingCountry", "networkKey",

@@ -125,6 +125,7 @@ SELECT b AS borYear, nullif(greatest(b // 100, 0), 0)::INT AS year, {_NAME('b %
         "table_retention": "SELECT mode, name FROM (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY name DESC) AS r FROM (VALUES " + ", ".join(f"('{m}', '{n}')" for m, n in RETENTION) + ") t(mode, name)) WHERE r > 2",
         "sink_roundtrip": f"{_WITH} SELECT mapKey, lat, lng, (borYear % 100)::BIGINT AS basis, (borYear // 100)::BIGINT AS year FROM pin",
     }
+    out["mvt_rows"] = out["tile_layer_attributes"]
     for epsg in (3857, 4326, 3575, 3031):
         x, y, ok = _pixel(epsg, PIXEL_ZOOM)
         out[f"global_pixel_{epsg}"] = f"{_WITH} SELECT lat, lng, {x} AS x, {y} AS y FROM (SELECT decimalLatitude AS lat, decimalLongitude AS lng FROM occ) WHERE {ok}"

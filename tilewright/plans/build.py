@@ -18,13 +18,13 @@ def large_views(records: DataFrame, config: Config) -> DataFrame:
 
 def build_points(records: DataFrame, large: DataFrame, config: Config) -> DataFrame:
     """Cells of the views too small for tiles."""
-    counts = views.select_views(views.counts_by_location(records, config.strict), large, approve=False)
+    counts = views.counts_of_views(records, large, False, config.strict)
     return points.cells(points.assemble(counts), config.salt_modulus)
 
 
 def tile_input(records: DataFrame, large: DataFrame, config: Config) -> DataFrame:
     """Counts by place of the views that get tiles."""
-    return views.select_views(views.counts_by_location(records, config.strict), large, approve=True, compat_empty_approve=config.compat_empty_approve)
+    return views.counts_of_views(records, large, True, config.strict, config.compat_empty_approve)
 
 
 def build_tiles(counts: DataFrame, epsg: int, config: Config, settle=None):
@@ -32,7 +32,7 @@ def build_tiles(counts: DataFrame, epsg: int, config: Config, settle=None):
     source = tiles.south(counts) if epsg == 3031 else counts
     for zoom, pixels in pyramid.levels(source, epsg, config.max_zoom, tile_size=config.tile_size, settle=settle):
         rows = tiles.tile_rows(pixels, epsg, zoom, config.tile_size, config.buffer_size)
-        yield zoom, tiles.cells(tiles.assemble(rows, zoom), epsg, config.salt_modulus, config.tile_size)
+        yield zoom, tiles.cells(rows, epsg, zoom, config.salt_modulus, config.tile_size)
 
 
 def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None) -> lifecycle.Store:
@@ -48,9 +48,12 @@ def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None
     work = f"{store.target}/{manifest.table}/_work"
     try:
         if source is None:
-            with lifecycle.pinned(store, config.source) as files:
-                source = occurrences.read(spark, files, config.source_format)
-        records = occurrences.store(occurrences.map_input(source), f"{work}/input")
+            with lifecycle.pinned(store, config.source) as files:  # until they are copied: what the build reads stays as it is
+                base = {} if lifecycle.is_glob(config.source) else {"basePath": config.source}
+                source = occurrences.read(spark, files, config.source_format, **base)
+                records = occurrences.store(occurrences.map_input(source), f"{work}/input", config.partitions)
+        else:
+            records = occurrences.store(occurrences.map_input(source), f"{work}/input", config.partitions)
         large = large_views(records, config)
         large.write.mode("overwrite").parquet(f"{work}/large")
         large = spark.read.parquet(f"{work}/large")

@@ -18,6 +18,7 @@ class Config:
     source: str = ""
     source_format: str = "parquet"
     database: str | None = None
+    partitions: int | None = None
     target: str = ""
     table_prefix: str = "maps"
     threshold: int = 250_000
@@ -35,6 +36,8 @@ class Config:
             raise ValueError("max_zoom must be 0 to 16: pixels are 32-bit")
         if self.tile_size < 2 * self.buffer_size:
             raise ValueError("a tile must be at least two buffers wide")
+        if self.partitions is not None and self.partitions < 1:
+            raise ValueError("partitions must be positive")
         if self.salt_modulus < 1:
             raise ValueError("salt_modulus must be positive")
 

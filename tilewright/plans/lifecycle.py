@@ -25,6 +25,7 @@ class Store:
     def __init__(self, spark: SparkSession, target: str):
         self._jvm, self.target = spark._jvm, target.rstrip("/")
         self._conf = spark._jsc.hadoopConfiguration()
+        self._gateway = spark.sparkContext._gateway
 
     def _path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(name if "://" in name or name.startswith(("/", "file:")) else f"{self.target}/{name}")
@@ -50,11 +51,12 @@ class Store:
             source.close()
 
     def rename(self, old: str, new: str) -> None:
-        fs = self._fs(new)
-        if not fs.rename(self._path(old), self._path(new)):
-            fs.delete(self._path(new), False)
-            if not fs.rename(self._path(old), self._path(new)):
-                raise OSError(f"cannot rename {old} to {new}")
+        """Rename, replacing what is there in one step: a reader sees the one file or the other."""
+        kinds = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self._gateway.new_array(kinds, 1)
+        how[0] = kinds.OVERWRITE
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs(new).getUri(), self._conf)
+        context.rename(self._fs(old).makeQualified(self._path(old)), self._fs(new).makeQualified(self._path(new)), how)
 
     def delete(self, name: str) -> bool:
         return self._fs(name).delete(self._path(name), True)
@@ -64,9 +66,21 @@ class Store:
             return []
         return sorted(s.getPath().getName() for s in self._fs(self.target).listStatus(self._path(self.target)) if s.isDirectory())
 
-    def files(self, name: str) -> list[str]:
-        """Paths of the files right under a folder."""
-        return sorted(s.getPath().toString() for s in self._fs(name).listStatus(self._path(name)) if s.isFile())
+    def files(self, source: str) -> list[str]:
+        """Paths of the data files below a folder, or below all that a glob matches; hidden files and folders are left out."""
+        fs, out = self._fs(source), []
+        for top in fs.globStatus(self._path(source)) or []:
+            root = top.getPath().toString()
+            found = fs.listFiles(top.getPath(), True)
+            while found.hasNext():
+                path = found.next().getPath().toString()
+                if not any(part.startswith(("_", ".")) for part in path[len(root) :].split("/")):
+                    out.append(path)
+        return sorted(out)
+
+
+def is_glob(source: str) -> bool:
+    return bool(re.search(r"[*?\[{]", source))
 
 
 def create(store: Store, manifest: Manifest) -> None:
@@ -96,10 +110,14 @@ def locked(store: Store, name: str) -> Iterator[None]:
 
 @contextlib.contextmanager
 def pinned(store: Store, source: str) -> Iterator[list[str]]:
-    """The source's files as they are now: a build that reads this list is not disturbed by files that arrive later."""
+    """The source's files as they are now, with the source locked for the block.
+
+    Whoever replaces files of the source must take the same lock; files that only arrive don't matter, as the list is fixed.
+    """
     with locked(store, "source"):
-        files = [f for f in store.files(source) if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
-    yield files
+        if not (files := store.files(source)):
+            raise FileNotFoundError(f"no data files in {source}")
+        yield files
 
 
 def live(store: Store) -> dict[str, str | None]:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bor_year, keys, projection, tiling, wire
 from .operators import layout, points, tiles, views
 from .plans import pyramid
-from .sources import fixtures, occurrences
+from .sources import cells, fixtures, occurrences
+from .sources.shared import shared_dir
 
 THRESHOLD = 1000
 MODULUS = 12
@@ -44,7 +47,7 @@ def _large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str, approve: bool) -> DataFrame:
-    return views.select_views(views.counts_by_location(_records(spark, sf_dir)), _large(spark, sf_dir), approve)
+    return views.counts_of_views(_records(spark, sf_dir), _large(spark, sf_dir), approve)
 
 
 @query
@@ -224,35 +227,54 @@ def table_retention(spark, sf_dir):
 @query
 def mvt_bytes(spark, sf_dir):
     rows = tiles.tile_rows(tiles.pixel_counts(_counts(spark, sf_dir, True), 4326, TILE_ZOOM), 4326, TILE_ZOOM)
-    return tiles.cells(tiles.assemble(rows, TILE_ZOOM), 4326, MODULUS)
+    return tiles.cells(rows, 4326, TILE_ZOOM, MODULUS)
 
 
 @query
-def point_pb_bytes(spark, sf_dir):
-    return points.cells(points.assemble(_counts(spark, sf_dir, False)), MODULUS)
+def mvt_rows(spark, sf_dir):
+    """Tile cells written to the salted store, read back and decoded: what ``tile_layer_attributes`` says."""
+    found = _stored(mvt_bytes(spark, sf_dir).drop("z"), "tiles")
+    key = F.split("row_key", ":")  # salt, view type, view, zoom, x, y
+    named = found.select(F.concat_ws(":", key[1], key[2]).alias("mapKey"), key[4].cast("int").alias("tileX"), key[5].cast("int").alias("tileY"), "value")
+    shape = "mapKey string, tileX int, tileY int, layer string, pixelX int, pixelY int, year string, occCount bigint"
+
+    def decode(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                rows = wire.read_vector_tile(batch.column(3)[at].as_py())
+                own = [pa.repeat(c[at], len(rows)) for c in batch.columns[:3]]
+                kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]], ["mapKey", "tileX", "tileY", "layer", "pixelX", "pixelY", "year", "occCount"])
+
+    return named.mapInArrow(decode, shape)
 
 
 @query
-def sink_roundtrip(spark, sf_dir):
-    """Point cells written to the salted store, read back and decoded: (mapKey, lat, lng, basis, year)."""
-    import uuid
+def point_pb_bytes(spark, sf_dir):
+    return points.cells(points.assemble(_counts(spark, sf_dir, False)), MODULUS)
 
-    from .sources import cells
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/tilewright-cells"
-    path = cells.path_of(base, f"cells-{uuid.uuid4().hex}", "points")
-    cells.write(point_pb_bytes(spark, sf_dir), path, MODULUS)
+def _stored(made, mode):
+    """Cells written to the salted store in the shared folder, which is removed when Spark ends, and read back."""
+    spark = made.sparkSession
+    path = cells.path_of(shared_dir(spark), f"cells-{uuid.uuid4().hex}", mode)
+    cells.write(made, path, MODULUS)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return cells.read(spark, path)
+
+
+@query
+def sink_roundtrip(spark, sf_dir):
+    """Point cells written to the salted store, read back and decoded: (mapKey, lat, lng, basis, year)."""
+    found = _stored(point_pb_bytes(spark, sf_dir), "points")
     shape = "mapKey string, lat double, lng double, basis bigint, year bigint"
 
     def decode(batches):
-        import pyarrow as pa
-
         for batch in batches:
             rows = [(k.split(":", 1)[1], *r) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in wire.read_point_features(v)]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["mapKey", "lat", "lng", "basis", "year"])
 
-    return cells.read(spark, path).select("row_key", "value").mapInArrow(decode, shape)
+    return found.select("row_key", "value").mapInArrow(decode, shape)

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TEXT, _INT = T.StringType(), T.IntegerType()
+# The ranks of the record model.
 TAXON_RANKS = ("kingdomKey", "phylumKey", "classKey", "orderKey", "familyKey", "genusKey", "speciesKey", "taxonKey")
 
+# The columns of the record model.
 SCHEMA = T.StructType(
     [
         *[T.StructField(c, _TEXT) for c in ("datasetKey", "publishingOrgKey", "publishingCountry")],
