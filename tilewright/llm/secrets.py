@@ -4,9 +4,14 @@ The text is the first layer. Regions that look URL-encoded, Unicode-escaped or b
 gzip, zlib or bzip2 streams that begin anywhere in decoded bytes are unpacked; each result is a new layer that is scanned
 and searched for further encoded regions until the worklist is empty. A base64 run may be glued to a path or a name and
 broken into lines, so it is decoded from each of its first four characters and also joined across line breaks. Bytes
-that are no text become a layer, too, if a finding or a further region is in them. A layer whose content has been seen under the
-same document is not entered again, which ends cycles. Every layer carries, for each of its characters, the span of
-the original text that produced it, so a finding in any layer is reported in the original's code points.
+that are no text become a layer, too, if a finding or a further region is in them.
+
+A layer's findings are kept in its own characters, and each layer knows which characters of the one above gave each of
+its own. So equal layers are searched once, and their findings are mapped to every place that holds one, level by
+level up to the original's code points. A layer that equals one it lies in is not entered, which ends cycles.
+
+Streams are unpacked bit by bit, and what they hold is scanned in pieces. A piece ends at a space between two plain words, which no
+finding or encoded region can contain, however long it is; so the pieces give what the whole would give.
 """
 
 from __future__ import annotations
@@ -15,7 +20,6 @@ import binascii
 import bz2
 import codecs
 import hashlib
-import itertools
 import re
 import zlib
 from array import array
@@ -23,9 +27,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ._util import fresh
 
 KINDS = ("assign", "access", "hex")
-PIECE, OVERLAP = 4 << 20, 1 << 16
+PIECE, FEED = 4 << 20, 1 << 16
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -33,7 +40,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 
-URL = re.compile(r"[A-Za-z0-9_.~!*'();:@&=+$,/?#\[\]-]*(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~!*'();:@&=+$,/?#\[\]-]*)+")
+URL = re.compile(r"(?:[A-Za-z0-9_.~!*'();:@&=+$,/?#\[\]-]|%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64_LEAST = 16
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -43,11 +50,13 @@ _STANDARD = str.maketrans("-_", "+/", "= \t\r\n")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh")
 _ESCAPED = re.compile("[\udc80-\udcff]")
 _STREAM = re.compile(b"|".join(map(re.escape, _MAGIC)))
+_APART = re.compile(r"(?<=\s)[A-Za-z0-9.,]+(?=\x20[A-Za-z0-9.,]+\s)")
 
 Span = tuple[int, int]
+Finding = tuple[str, int, int]
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
+def base_spans(text: str) -> list[Finding]:
     """Findings of one layer, by kind."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)] if "AKIA" in text else []
@@ -56,17 +65,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A decoded text with the original span of each character: a list of each, or one span for all, or none (the text)."""
+    """A decoded text with the span of each character in the layer above: a list of each, or one span for all."""
 
     def __init__(self, text: str, starts: array | None = None, ends: array | None = None, span: Span | None = None):
         self.text, self.starts, self.ends, self.span = text, starts, ends, span
 
-    def original(self, start: int, end: int) -> Span:
-        if self.span is not None:
-            return self.span
-        if self.starts is None:
-            return start, end
-        return min(self.starts[start:end]), max(self.ends[start:end])
+    def above(self, start: int, end: int) -> Span:
+        return self.span or (min(self.starts[start:end]), max(self.ends[start:end]))
 
 
 def _legible(text: str) -> bool:
@@ -108,140 +113,191 @@ def _from_bytes(raw: bytes, origin: Callable[[int], Span]) -> Layer | None:
 def _inside(raw: bytes, origin: Callable[[int], Span], end: int) -> Iterator[Layer]:
     """Layers of decoded bytes: the streams that begin in them, each of which may reach to ``end``, and the bytes as text."""
     for m in _STREAM.finditer(raw):
-        packed = (raw[i : i + OVERLAP] for i in range(m.start(), len(raw), OVERLAP))
-        yield from _unpacked(packed, (origin(m.start())[0], end))
+        span = origin(m.start())[0], end
+        yield from (Layer(text, span=span) for text in _unpacked(raw[m.start() :]))
     if inner := _from_bytes(raw, origin):
         yield inner
 
 
-def _url(layer: Layer, m: re.Match) -> Iterator[Layer]:
-    raw, starts, ends, i = bytearray(), array("q"), array("q"), m.start()
+def _url(m: re.Match) -> Iterator[Layer]:
+    text, raw, starts, ends, i = m.string, bytearray(), array("q"), array("q"), m.start()
     while i < m.end():
-        step = 3 if layer.text[i] == "%" else 1
-        start, end = layer.original(i, i + step)
-        raw.append(int(layer.text[i + 1 : i + 3], 16) if step == 3 else ord(layer.text[i]))
-        starts.append(start)
-        ends.append(end)
+        step = 3 if text[i] == "%" else 1
+        raw.append(int(text[i + 1 : i + 3], 16) if step == 3 else ord(text[i]))
+        starts.append(i)
+        ends.append(i + step)
         i += step
-    yield from _inside(bytes(raw), lambda k: (starts[k], ends[k]), layer.original(m.start(), m.end())[1])
+    yield from _inside(bytes(raw), lambda k: (starts[k], ends[k]), m.end())
 
 
-def _escapes(layer: Layer) -> Layer | None:
+def _escapes(text: str) -> Layer | None:
     """The whole layer with its escapes resolved, so that a secret partly escaped is found as well."""
     out, starts, ends, at = [], array("q"), array("q"), 0
 
     def plain(upto: int) -> None:
-        for i in range(at, upto):
-            start, end = layer.original(i, i + 1)
-            out.append(layer.text[i])
-            starts.append(start)
-            ends.append(end)
+        out.append(text[at:upto])
+        starts.extend(range(at, upto))
+        ends.extend(range(at + 1, upto + 1))
 
-    for m in ESCAPE.finditer(layer.text):
+    for m in ESCAPE.finditer(text):
         digits = next(g for g in m.groups() if g is not None)
         code = int(digits, 10 if m[6] else 16)
         plain(m.start())
         at = m.end()
         if code < 0x110000 and not 0xD800 <= code < 0xE000:
-            start, end = layer.original(m.start(), m.end())
             out.append(chr(code))
-            starts.append(start)
-            ends.append(end)
-    plain(len(layer.text))
-    return Layer("".join(out), starts, ends) if out else None
-
-
-def _inflated(packed: Iterator[bytes], magic: bytes) -> Iterator[bytes]:
-    """The unpacked stream in pieces of at most PIECE bytes; it ends where the packed one breaks off or is damaged."""
-    bz = magic[:3] == b"BZh"
-    machine = bz2.BZ2Decompressor() if bz else zlib.decompressobj(47)
-    try:
-        for data in packed:
-            while True:
-                piece = machine.decompress(data, PIECE)
+            starts.append(m.start())
+            ends.append(m.end())
+    plain(len(text))
+    return Layer("".join(out), starts, ends) if starts else None
+
+
+class _Stream:
+    """A compressed stream that is fed bit by bit, and the streams that begin in what it unpacks to.
+
+    A stream ends where it is complete, damaged or cut off. One that begins with the same FEED bytes as a stream that it lies
+    in, or is equal to it if shorter, is a cycle and is left out.
+    """
+
+    def __init__(self, above: tuple[bytes, ...]):
+        self.above, self.waiting, self.machine, self.over = above, b"", None, False
+        self.decoder, self.text, self.edge = codecs.getincrementaldecoder("utf-8")("replace"), "", b""
+        self.inner: list[_Stream] = []
+
+    def feed(self, data: bytes | None) -> Iterator[bytes]:
+        """What the next bytes (None: no more) unpack to, in pieces of at most PIECE bytes."""
+        if self.machine is None and not self.over:
+            self.waiting += data or b""
+            if data is not None and len(self.waiting) < FEED:
+                return
+            data, self.waiting = self.waiting, b""
+            key = hashlib.blake2b(data[:FEED], digest_size=16).digest()
+            self.over = key in self.above
+            self.above = (*self.above, key)
+            self.bz = data[:3] == b"BZh"
+            self.machine = bz2.BZ2Decompressor() if self.bz else zlib.decompressobj(47)
+        while data and not self.over:
+            try:
+                piece = self.machine.decompress(data, PIECE)
+            except (OSError, zlib.error):
+                self.over = True
+                return
+            data = b"" if self.bz else self.machine.unconsumed_tail
+            self.over = self.machine.eof
+            if piece:
+                yield piece
+            while self.bz and not self.over and not self.machine.needs_input:
+                piece = self.machine.decompress(b"", PIECE)
+                self.over = self.machine.eof
                 if piece:
                     yield piece
-                data = b"" if bz else machine.unconsumed_tail
-                if machine.eof or (machine.needs_input if bz else not data):
-                    break
-            if machine.eof:
-                return
-    except (OSError, zlib.error):
-        return
 
+    def begun(self, piece: bytes) -> Iterator[tuple[_Stream, bytes]]:
+        """The inner streams, each with what the next unpacked bytes mean to it; new ones begin in these bytes."""
+        old, joined = list(self.inner), self.edge + piece
+        yield from ((s, piece) for s in old)
+        for m in _STREAM.finditer(joined):
+            if m.end() > len(self.edge):
+                self.inner.append(_Stream(self.above))
+                yield self.inner[-1], joined[m.start() :]
+        self.edge = joined[-2:]
+
+    def texts(self, piece: bytes | None) -> Iterator[str]:
+        """The text unpacked so far as far as it can be cut off; with None all that is left."""
+        self.text += self.decoder.decode(piece or b"", piece is None)
+        at = len(self.text) if piece is None else 0
+        if piece is not None and len(self.text) >= PIECE:
+            reach = FEED
+            while not at and reach < 2 * len(self.text):
+                for m in _APART.finditer(self.text, max(0, len(self.text) - reach)):
+                    at = m.end()
+                reach *= 2
+        if at:
+            out, self.text = self.text[:at], self.text[at:]
+            if _legible(out) or _holds(out):
+                yield out
+
+
+def _unpacked(raw: bytes) -> Iterator[str]:
+    """Texts that a stream holds, and the streams in it, however often they are packed."""
+    root = _Stream(())
+    for data in (*(raw[k : k + FEED] for k in range(0, len(raw), FEED)), None):
+        work = [(root, data, root.feed(data))]
+        while work:
+            stream, last, pieces = work[-1]
+            piece = next(pieces, None)
+            if piece is not None:
+                yield from stream.texts(piece)
+                work += [(s, d, s.feed(d)) for s, d in stream.begun(piece)]
+                continue
+            work.pop()
+            if last is None:
+                yield from stream.texts(None)
+                work += [(s, None, s.feed(None)) for s in stream.inner]
 
-def _unpacked(packed: Iterator[bytes], span: Span) -> Iterator[Layer]:
-    """Layers of a compressed stream, unpacked as often as it was packed; all of them map to the span that held it.
 
-    A long stream gives several layers that overlap by OVERLAP characters, so memory is bounded and nothing is left out.
-    """
-    first = next(packed, b"")
-    if not first.startswith(_MAGIC):
-        return
-    plain = _inflated(itertools.chain([first], packed), first)
-    head = next(plain, b"")
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    try:
-        text = decoder.decode(head)
-    except UnicodeDecodeError:
-        text = ""
-    if not text or not _legible(text):
-        yield from _unpacked(itertools.chain([head], plain), span)
-        return
-    yield Layer(text, span=span)
-    for piece in plain:
-        try:
-            text = text[-OVERLAP:] + decoder.decode(piece)
-        except UnicodeDecodeError:
-            return
-        yield Layer(text, span=span)
-
-
-def _base64(layer: Layer, m: re.Match, body: str, at: Sequence[int]) -> Iterator[Layer]:
-    end = layer.original(m.start(), m.end())[1]
+def _base64(m: re.Match, body: str, at: Sequence[int]) -> Iterator[Layer]:
     for skip in range(4):  # a run that begins later is aligned with one of these
         size = len(body) - skip
         raw = binascii.a2b_base64(body[skip : len(body) - (size % 4 == 1)] + "=" * (-size % 4 if size % 4 > 1 else 0))
         # byte i lies in characters i * 8 // 6 to the one that holds its last bit
-        yield from _inside(raw, lambda i, skip=skip: layer.original(at[skip + i * 4 // 3], at[skip + (i * 8 + 7) // 6] + 1), end)
+        yield from _inside(raw, lambda i, skip=skip: (at[skip + i * 4 // 3], at[skip + (i * 8 + 7) // 6] + 1), m.end())
 
 
-def _deeper(layer: Layer) -> Iterator[Layer]:
-    text = layer.text
+def _deeper(text: str) -> Iterator[Layer]:
     if "%" in text:
         for m in URL.finditer(text):
-            yield from _url(layer, m)
-    if ("\\" in text or "&#" in text) and ESCAPE.search(text) and (inner := _escapes(layer)):
+            if "%" in m[0]:
+                yield from _url(m)
+    if ("\\" in text or "&#" in text) and ESCAPE.search(text) and (inner := _escapes(text)):
         yield inner
     for run in _runs(text):
-        yield from _base64(layer, *run)
+        yield from _base64(*run)
+
+
+def _mark(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
 
+def _order(x: Finding) -> tuple[int, int, int]:
+    return x[1], KINDS.index(x[0]), x[2]
 
-def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
-    """(base spans, all spans, number of decoded layers) of a text, both sorted by start, then kind."""
+
+def scan(text: str | None) -> tuple[list[Finding], list[Finding], int]:
+    """(base spans, all spans, number of distinct decoded layers) of a text, both sorted by start, then kind."""
     text = text or ""
-    order = lambda x: (x[1], KINDS.index(x[0]), x[2])
-    base = sorted(base_spans(text), key=order)
-    mark = lambda t: hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-    found, seen, layers = set(base), set(), 0
-    work = [_deeper(Layer(text))]  # what is left of each layer being searched
+    base = base_spans(text)
+    found = set(base)
+    first = next(inner := _deeper(text), None)
+    if first is None:  # as for most texts
+        return sorted(base, key=_order), sorted(found, key=_order), 0
+    known: dict[bytes, list[Finding]] = {}  # the findings of layers that are done, in their own characters
+    work = [(_mark(text), None, found, _chain(first, inner))]  # a layer, its findings so far, and what is left of its layers
+    open_marks = {work[0][0]}
     while work:
-        inner = next(work[-1], None)
-        if inner is None:
-            work.pop()
-            continue
-        if not seen:
-            seen.add(mark(text))
-        if (digest := mark(inner.text)) in seen:
+        mark, layer, own, rest = work[-1]
+        if (inner := next(rest, None)) is not None:
+            below = _mark(inner.text)
+            if below in known:
+                own.update((kind, *inner.above(s, e)) for kind, s, e in known[below])
+            elif below not in open_marks:
+                open_marks.add(below)
+                work.append((below, inner, set(base_spans(inner.text)), _deeper(inner.text)))
             continue
-        seen.add(digest)
-        layers += 1
-        found.update((kind, *inner.original(s, e)) for kind, s, e in base_spans(inner.text))
-        work.append(_deeper(inner))
-    return base, sorted(found, key=order), layers
+        work.pop()
+        open_marks.discard(mark)
+        if layer is not None:
+            known[mark] = list(own)
+            work[-1][2].update((kind, *layer.above(s, e)) for kind, s, e in own)
+    return sorted(base, key=_order), sorted(found, key=_order), len(known)
+
+
+def _chain(first: Layer, rest: Iterator[Layer]) -> Iterator[Layer]:
+    yield first
+    yield from rest
 
 
-def redact(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+def redact(text: str, spans: list[Finding], mark: str) -> str:
     """``text`` with each maximal run of overlapping spans replaced by ``mark``."""
     out, at = [], 0
     for _, s, e in sorted(spans, key=lambda x: x[1:]):
@@ -251,28 +307,31 @@ def redact(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def joined(spans: list[tuple[str, int, int]]) -> str:
+def joined(spans: list[Finding]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
 def scan_documents(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """One row per document: key columns, base and spans (as kind:start:end lists), base counts and n_layers.
+    """One row per document: key columns, n_assign, n_access, n_hex, base, spans (as kind:start:end lists) and n_layers.
 
-    Null and empty texts have no spans. Rows are independent: repeated rows give repeated results.
-    Texts are scanned whole; what a compressed layer unpacks to is scanned in overlapping pieces, which bounds memory.
+    Null and empty texts have no spans. Rows are independent: repeated rows give repeated results, and an empty table gives
+    an empty one. Texts are scanned whole; only what a compressed stream unpacks to is scanned in pieces. Findings of
+    one start are ordered by kind, then end. A result column that clashes with ``key`` gets a trailing underscore.
     """
     shape = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in key)
+    names = [fresh(docs.select(*key), n) for n in (*[f"n_{k}" for k in KINDS], "base", "spans", "n_layers")]
+    body = fresh(docs.select(*key), "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results = [scan(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            results = [scan(t) for t in batch.column(len(key)).to_pylist()]
             counts = [pa.array([sum(k == kind for k, _, _ in base) for base, _, _ in results], pa.int64()) for kind in KINDS]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(batch.schema.get_field_index(k)) for k in key], *counts, pa.array([joined(b) for b, _, _ in results], pa.string()), pa.array([joined(s) for _, s, _ in results], pa.string()), pa.array([n for _, _, n in results], pa.int64())],
-                [*key, *[f"n_{k}" for k in KINDS], "base", "spans", "n_layers"],
-            )
+            lists = [pa.array([joined(r[k]) for r in results], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(key)], *counts, *lists, pa.array([n for _, _, n in results], pa.int64())], [*key, *names])
 
-    return docs.select(*key, text).mapInArrow(run, f"{shape}, n_assign bigint, n_access bigint, n_hex bigint, base string, spans string, n_layers bigint")
+    kinds = ("bigint", "bigint", "bigint", "string", "string", "bigint")
+    out = ", ".join([shape, *[f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)]])
+    return docs.select(*[F.col(f"`{k}`") for k in key], F.col(f"`{text}`").alias(body)).mapInArrow(run, out)
 
 
 def redact_documents(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
