@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +58,30 @@ def test_awkward_rows_are_kept_apart_with_several_parts(spark):
     order = lambda x: (x[0] is None, str(x))
     got = sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found), key=order)
     assert got == sorted(((i, *brute.contamination(t, items)) for i, t in rows), key=order)
+
+
+def test_equal_hashes_are_no_match(monkeypatch):
+    """With hashes that say nothing, only the words themselves decide."""
+    place = D.word_places
+
+    def blind(*args):
+        hashes, *rest = place(*args)
+        return hashes & np.uint64(1), *rest
+
+    monkeypatch.setattr(D, "word_places", blind)
+    docs, items = corpus()
+    searchers = D.compile_items([(str(i), t) for i, t in items], D.WINDOW)
+    for words, (_, text) in zip(D.texts_of(pa.array([t for _, t in docs], pa.string())), docs, strict=True):
+        starts, ends, found = D._find(words, searchers)
+        assert (D.covered(starts, ends), sorted(found)) == brute.contamination(text, items)[1:]
+
+
+def test_clashing_names(spark):
+    bench = spark.createDataFrame([(1, "a b c", "x")], "item bigint, body string, text string")
+    df = spark.createDataFrame([("i", "a b c d", 7, 1), ("j", None, None, None)], "items string, text string, n_words int, starts int")
+    for part_words in (10**6, 1):
+        both = bench.union(bench.selectExpr("2", "'c d'", "'y'"))
+        out = D.occurrences(df, both, ["items", "text", "n_words", "starts"], item="item", item_text="body", part_words=part_words)
+        assert out.columns == ["items", "text", "n_words", "starts", "n_words_", "starts_", "ends", "items_"]
+        assert {(r["items"], r.n_words_, tuple(r.items_)) for r in out.collect()} == {("i", 4, ("1", "2")), ("j", 0, ())}
+    assert [r["items"] for r in D.decontaminate(df, bench, item="item", item_text="body").collect()] == ["j"]

@@ -77,12 +77,18 @@ def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of these rows in order, row index bounds into that list)."""
+    return word_places(data, offsets, member)[:2]
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word of these rows in order, row index bounds into that list, first byte and end of each word in ``data``)."""
     low = int(offsets[0])
     raw = _LOWER[data[low : int(offsets[-1])]]
     bounds = offsets - low
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), np.zeros(len(offsets), np.int64), none, none
     inside = member[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -97,7 +103,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tu
     sums[0] = 0
     np.cumsum(_BYTE_VALUE[raw] * up[:n], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, bounds)
+    return hashes, np.searchsorted(starts, bounds), starts + low, ends + low
 
 
 def grams(words: np.ndarray, size: int) -> np.ndarray:
