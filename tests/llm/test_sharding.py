@@ -42,5 +42,18 @@ def test_a_row_repeated_often(spark):
     check(sharding.shard(df, 8).collect(), 9050, 8)
 
 
+def test_copies_of_a_row_do_not_meet_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES_PER_CHUNK", 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame([(1, "x")] * 4000 + [(i, "y") for i in range(50)], "doc_id bigint, text string")
+        out = sharding.shard(df, 8)
+        held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        check(out.collect(), 4050, 8)
+        assert len(held) == 4 and max(held) < 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_empty(spark):
     assert sharding.shard(cases.empty(spark), 8).count() == 0

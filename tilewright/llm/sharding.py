@@ -7,7 +7,8 @@ cycle until it is below n, which keeps the map a permutation of 0..n-1. The perm
 ``shard = p mod k`` and ``slot = p div k``: counts differ by one at most and slots have no gap.
 
 Everything is built from DataFrame functions. Identical rows are counted before anything is shuffled by key,
-numbered as one run, and expanded again in chunks, so a row repeated any number of times never meets in a task.
+numbered as one run, and cut into chunks of copies; the chunks are dealt out anew before they are expanded, so a row repeated
+any number of times never meets in a task.
 """
 
 from __future__ import annotations
@@ -72,8 +73,9 @@ def shard(docs: DataFrame, n_shards: int, seed: int = 0, content: Column | None
     digest, copies, bucket, base, offset, chunk = (fresh(docs, f"_sh_{x}") for x in ("digest", "copies", "bucket", "base", "offset", "chunk"))
     number, shard_col, slot = (fresh(docs, x) for x in ("row_number", "shard", "slot"))
     content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])) if content is None else content
-    runs = docs.withColumn(digest, F.md5(F.coalesce(content, F.lit("")).cast("binary"))).groupBy(*names, digest).agg(F.count("*").alias(copies))
-    n = docs.count()
+    digested = docs.withColumn(digest, F.md5(F.coalesce(content, F.lit("")).cast("binary")))
+    n, most = digested.groupBy(digest).agg(F.count("*").alias(copies)).agg(F.coalesce(F.sum(copies), F.lit(0)), F.coalesce(F.max(copies), F.lit(0))).first()
+    runs = digested.groupBy(*[F.col(f"`{c}`") for c in names], digest).agg(F.count("*").alias(copies))
     hex_digits = min(7, max(1, math.ceil(math.log(max(n / ROWS_PER_BUCKET, 1), 16))))
     runs = runs.withColumn(bucket, F.substring(digest, 1, hex_digits))
     totals = runs.groupBy(bucket).agg(F.sum(copies).alias(base))
@@ -83,6 +85,8 @@ def shard(docs: DataFrame, n_shards: int, seed: int = 0, content: Column | None
     runs = runs.withColumn(offset, F.coalesce(F.sum(copies).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     runs = runs.join(totals, bucket).withColumn(base, F.col(base) + F.col(offset))
     spread = runs.withColumn(chunk, F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / COPIES_PER_CHUNK))))
+    if most > COPIES_PER_CHUNK:
+        spread = spread.repartition(digest, chunk)
     start, end = F.col(chunk) * COPIES_PER_CHUNK, F.least((F.col(chunk) + 1) * COPIES_PER_CHUNK, F.col(copies))
     numbered = spread.withColumn(number, F.explode(F.sequence(F.col(base) + start, F.col(base) + end - 1)))
     permuted = numbered.withColumn(slot, permute(F.col(number), n, seed))
