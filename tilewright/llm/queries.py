@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == LANG_HELD_OUT
 
 
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+VOCABULARY = os.environ.get("TILEWRIGHT_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
