@@ -51,6 +51,19 @@ def test_deep_shallow_sorts():
     assert len(set(classes.tolist())) == len(seen)
 
 
+def test_multikey_quicksort():
+    rng = random.Random(6)
+    text = bytes(rng.choice(b"abc") for _ in range(3000)) + b"abcabcab" * 60
+    starts = np.array([rng.randrange(len(text) - 32) for _ in range(2000)])
+    group = np.array([rng.randrange(5) for _ in range(2000)])
+    for depth in (8, 32):
+        order, begin = S.multikey_quicksort(text, starts, group, depth)
+        cut = [(int(group[k]), text[starts[k] : starts[k] + depth]) for k in order]
+        assert sorted(order.tolist()) == list(range(2000)) and cut == sorted(cut)
+        assert begin.tolist() == [k for k in range(2000) if k == 0 or cut[k] != cut[k - 1]]
+    assert not len(S.multikey_quicksort(b"", starts[:0], group[:0], 8)[1])
+
+
 def test_blind_trie():
     rng = random.Random(4)
     strings = [bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(300)]

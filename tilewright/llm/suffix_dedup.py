@@ -250,27 +250,58 @@ def blind_trie(strings: list[bytes]) -> tuple[list[int], list[int]]:
     return classes, order
 
 
-def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(order, class) of the windows buffer[s:s+length]: order sorts by (group, bytes); equal windows share a class.
+def multikey_quicksort(buffer: bytes, starts: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first place of each segment): the strings at ``starts`` by group, then by their first ``depth`` bytes.
 
-    Windows of different groups are never compared. Shallow: three-way splits on 8 bytes at a time, all groups in one
-    pass; deep: a blind trie for each set that agrees in the first SHALLOW bytes.
+    A segment is split three ways by one symbol of 8 bytes of its pivot, the median of three: what is less, what is equal and goes on
+    with the next symbol, and what is greater. All segments that are not done are split in one pass.
     """
     data = np.frombuffer(buffer + bytes(8), np.uint8)
     symbols = np.lib.stride_tricks.sliding_window_view(data, 8)
     order = np.argsort(group, kind="stable")
-    part = group[order].astype(np.int64)
-    for depth in range(0, min(SHALLOW, length - length % 8), 8):
-        key = np.ascontiguousarray(symbols[starts[order] + depth]).view(">u8").ravel().astype(np.uint64)
-        sub = np.lexsort((key, part))
-        order, key, part = order[sub], key[sub], part[sub]
-        step = np.ones(len(order), np.int64)
-        step[1:] = (part[1:] != part[:-1]) | (key[1:] != key[:-1])
-        part = np.cumsum(step)
+    begin = np.flatnonzero(np.append(True, group[order][1:] != group[order][:-1])) if len(order) else np.zeros(0, np.int64)
+    size, at = np.diff(np.append(begin, len(order))), np.zeros(len(begin), np.int64)
+    done = []
+    while len(begin):
+        settled = (size == 1) | (at >= depth)
+        done.append(begin[settled])
+        begin, size, at = begin[~settled], size[~settled], at[~settled]
+        if not len(begin):
+            break
+        head = np.cumsum(size) - size  # of each segment among the rows at hand
+        mine = np.repeat(np.arange(len(begin)), size)
+        rows = np.arange(len(mine)) + np.repeat(begin - head, size)
+        held = order[rows]
+        key = np.ascontiguousarray(symbols[starts[held] + at[mine]]).view(">u8").ravel().astype(np.uint64)
+        three = np.sort(np.stack([key[head], key[head + size // 2], key[head + size - 1]]), axis=0)
+        side = (key >= three[1][mine]).astype(np.int64) + (key > three[1][mine])
+        counts = np.bincount(mine * 3 + side, minlength=3 * len(begin)).reshape(-1, 3)
+        to = np.cumsum(counts, axis=1) - counts + head[:, None]
+        place = np.empty(len(mine), np.int64)
+        for k in range(3):
+            which = np.flatnonzero(side == k)
+            own = mine[which]
+            before = np.cumsum(counts[:, k]) - counts[:, k]
+            place[which] = to[own, k] + np.arange(len(which)) - before[own]
+        moved = np.empty(len(held), held.dtype)
+        moved[place] = held
+        order[rows] = moved
+        full = counts > 0
+        begin, at = (to + (begin - head)[:, None])[full], (at[:, None] + np.array([0, 8, 0]))[full]
+        size = counts[full]
+    return order, np.sort(np.concatenate(done)) if done else np.zeros(0, np.int64)
+
+
+def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(order, class) of the windows buffer[s:s+length]: order sorts by (group, bytes); equal windows share a class.
+
+    Windows of different groups are never compared. Shallow: multikey quicksort to the depth of SHALLOW bytes; deep: a blind
+    trie for each set that agrees in them.
+    """
+    order, begin = multikey_quicksort(buffer, starts, group, min(SHALLOW, length - length % 8))
     classes = np.zeros(len(starts), np.int64)
-    bounds = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else [], len(part)).astype(np.int64)
     used = 0
-    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+    for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True) if len(begin) else ():
         if hi - lo == 1:
             classes[order[lo]] = used
             used += 1
@@ -396,7 +427,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chu
     A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a document of smaller key (null
     before all others), or earlier in the same document. Texts are UTF-8 bytes, a null text is empty, and matches never
     cross documents. Rows that share a key but not the text are ordered by a hash of the text; rows equal in
-    both are one document, and each of them gets that document's result. Other columns are ignored.
+    both are one document, and each of them gets that document's result. Ties within a document go to the earlier start. An
+    empty table gives an empty result. Other columns are ignored, whatever their names.
     """
     did = F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))
     body = F.coalesce(F.col(text), F.lit(""))
