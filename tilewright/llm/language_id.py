@@ -16,8 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._util import fresh
+
 BUCKETS = 4096
-SAMPLE_PER_LANGUAGE = 400
+SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 400, 1000
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _M = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -101,48 +103,66 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 1e-
     return w, b
 
 
-def fit(samples: list[tuple[str, str]]) -> Model:
-    """A model from (text, language) pairs."""
-    languages = sorted({lang for _, lang in samples})
+def fit(x: np.ndarray, tongues: list[str]) -> Model:
+    """A model from the features of texts (one row each) and their languages."""
+    languages = sorted(set(tongues))
     code = codewords(len(languages))
     if not languages:
         return Model([], code, np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32), np.ones(1, np.float32))
-    x = np.stack([features(t) for t, _ in samples])
-    rank = np.array([languages.index(lang) for _, lang in samples])
-    y = code[rank]
+    place = {lang: k for k, lang in enumerate(languages)}
+    y = code[[place[lang] for lang in tongues]]
     w, b = _logistic(x, y)
     trust = np.maximum(0.05, 2 * (np.sign(x @ w + b) == y).mean(axis=0) - 1)
     return Model(languages, code, w, b, (trust * 4 / trust.sum()).astype(np.float32))
 
 
-def training_sample(labelled: DataFrame, key: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """About ``per_language`` labelled rows of each language, picked by a hash of the key: the driver's bound."""
-    labelled = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}  # one row a language
+def fit_texts(samples: list[tuple[str, str]]) -> Model:
+    """A model from (text, language) pairs."""
+    return fit(np.stack([features(t) for t, _ in samples]) if samples else np.zeros((0, BUCKETS), np.float32), [lang for _, lang in samples])
+
+
+def training_sample(labelled: DataFrame, key: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> tuple[np.ndarray, list[str]]:
+    """Features and languages of about ``per_language`` labelled rows of each language, picked by a hash of the key.
+
+    Texts are read whole where they lie; the driver gets BUCKETS numbers a row, however long they are. With more
+    than ``most_languages`` languages the most frequent are learned, of equally frequent ones the first by name.
+    """
+    labelled = labelled.select(F.col(key).cast("string").alias("_key"), F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"))
+    labelled = labelled.filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull())
+    counts = {r[0]: r[1] for r in labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(most_languages).collect()}
     if not counts:
-        return []
-    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("lid")), F.lit(1 << 30)) / float(1 << 30)
+        return np.zeros((0, BUCKETS), np.float32), []
+    draw = F.pmod(F.xxhash64("_key", F.lit("lid")), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_language / n))])
-    picked = labelled.filter(draw < F.element_at(share, F.col(lang)))
-    rows = picked.select(key, text, lang).collect()
-    return [(r[1], r[2]) for r in sorted(rows, key=lambda r: (str(r[0]), r[2], r[1]))]
+    picked = labelled.filter(draw < F.element_at(share, F.col("_lang")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 100):
+                part = batch.slice(first, 100)
+                rows = pa.array([features(t.as_py()).tobytes() for t in part.column(1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), rows], ["_key", "_lang", "x"])
+
+    rows = sorted(((r[0] or "", r[1], bytes(r[2])) for r in picked.mapInArrow(run, "_key string, _lang string, x binary").collect()))
+    return np.array([np.frombuffer(r[2], np.float32) for r in rows], np.float32).reshape(len(rows), BUCKETS), [r[1] for r in rows]
 
 
 def identify(docs: DataFrame, model: Model, key: list[str], text: str = "text") -> DataFrame:
     """One row per document: key columns, lang_pred, score in 0..1, ambiguous.
 
     Null texts, and texts without a letter, are ``und`` with score 0, as is everything when nothing was learned.
-    Repeated rows are judged alike.
+    Of languages of equal loss the first by name wins, flagged as ambiguous. Repeated rows are judged alike, and an
+    empty table gives an empty result. Result columns that clash with ``key`` get a trailing underscore.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # 4096 weights for each of a few bits
-    shape = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in key)
+    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights for each bit: 10 * log2(MOST_LANGUAGES) bits at most
+    mine = docs.select(*[F.col(f"`{k}`") for k in key])
+    names, body = [fresh(mine, n) for n in ("lang_pred", "score", "ambiguous")], fresh(mine, "_text")
+    kinds = ("string", "double", "boolean")
+    shape = ", ".join([*[f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in key], *[f"`{n}` {kind}" for n, kind in zip(names, kinds, strict=True)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tags, scores, unsure = held.value.predict(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(batch.schema.get_field_index(k)) for k in key], pa.array(tags, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())],
-                [*key, "lang_pred", "score", "ambiguous"],
-            )
+            tags, scores, unsure = held.value.predict(batch.column(len(key)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(key)], pa.array(tags, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())], [*key, *names])
 
-    return docs.select(*key, text).mapInArrow(run, f"{shape}, lang_pred string, score double, ambiguous boolean")
+    return docs.select(*[F.col(f"`{k}`") for k in key], F.col(f"`{text}`").alias(body)).mapInArrow(run, shape)

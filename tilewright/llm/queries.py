@@ -79,7 +79,7 @@ def op9_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op10_ecoc_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
-    model = language_id.fit(language_id.training_sample(docs.filter(~F.col("held_out")), "doc_id", "text", "lang"))
+    model = language_id.fit(*language_id.training_sample(docs.filter(~F.col("held_out")), "doc_id", "text", "lang"))
     return language_id.identify(docs, model, ["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
