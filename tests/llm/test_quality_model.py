@@ -1,6 +1,10 @@
+import math
 import random
+import re
+import unicodedata
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm import cases
 from tilewright.llm import quality_model as Q
@@ -27,6 +31,34 @@ def test_learns_rules_and_scores_natively(spark):
     assert np.mean([r.predicted == truth[r.doc_id] for r in scored.collect() if r.doc_id % 2]) > 0.95
 
 
+def plain_statistics(text):
+    text = text or ""
+    words, lines = re.findall(r"[^\x20\x09-\x0D]+", text), text.split("\n")
+    n = max(1, len(words))
+    counts = [sum(c in "#$%*&<>" for c in text), text.count("|"), text.count("!"), sum(c in "0123456789" for c in text), sum(c in ".,;:?" for c in text)]
+    upper = sum(unicodedata.category(c) == "Lu" for c in text)
+    return [len(text), len(words), sum(map(len, words)) / n, *[c / n for c in (upper, *counts)], len(lines) / n, (len(lines) - len(set(lines))) / len(lines), len(set(words)) / n]
+
+
+def test_compiled_columns_against_plain_rules(spark):
+    """The statistics and the score of each text, computed once more by plain Python from the model's rules."""
+    docs, labels = labelled(spark, 120)
+    model = Q.fit(*Q.training_sample(docs, labels, "doc_id", "text", "quality"))
+    texts = [r.text for r in docs.limit(60).collect()] + [r[1] for r in cases.rows()] + ["A|b! c9. Éa\n\nA|b! c9.\n#$%*&<>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(2)
+    got = {r.doc_id: r for r in df.select("doc_id", Q.statistics(F.col("text")).alias("s")).collect()}
+    scores = {r.doc_id: r for r in Q.score(df, model, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        stats = plain_statistics(text)
+        assert np.allclose(list(got[i].s), stats, rtol=1e-12), text
+        margin = model.bias
+        for rule, weight in zip(model.rules, model.weights, strict=True):
+            if all(stats[k] <= cut if at_most else stats[k] > cut for k, at_most, cut in rule):
+                margin += weight
+        score = 1 / (1 + math.exp(-margin))
+        assert math.isclose(scores[i].score, score, rel_tol=1e-9) and scores[i].predicted == int(score >= 0.5)
+
+
 def test_rules_hold_for_the_rows_of_their_path():
     x = np.array([[0.0, 1], [1, 2], [2, 3], [3, 4]])
     assert Q._holds(x, ((0, True, 1.0), (1, False, 1.0))).tolist() == [False, True, False, False]

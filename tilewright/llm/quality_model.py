@@ -173,8 +173,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
 def score(docs: DataFrame, model: RuleModel, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= 0.5, else 0).
 
-    Null and empty texts are scored by their zero statistics. Repeated rows are scored alike. With nothing learned the
-    score is 0.5. Added columns get a trailing underscore where ``keep`` has their name.
+    Null and empty texts are scored by their statistics, nearly all zero. Repeated rows are scored alike, and an empty table
+    gives an empty result. With nothing learned the score is 0.5, which counts as 1. Added columns get a trailing underscore where ``keep`` has their name.
     """
     names = [fresh(docs.select(*keep), n) for n in ("score", "predicted")]
     # as a lambda's body the rules are interpreted: generated code with all of them takes the compiler over 1 GB
