@@ -1,12 +1,17 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import brute, cases
 from tilewright.llm import jaccard_join as J
+from tilewright.llm._util import whole_groups
+from tilewright.llm._words import mix
 from tilewright.llm.components import components
+from tilewright.llm.signature_tree import Block, dual_traversal
 
 
 def corpus(seed, n=150):
@@ -53,18 +58,59 @@ def test_awkward_rows(spark):
     assert J.classes(cases.empty(spark)).count() == 0 and J.keep_first(cases.empty(spark)).count() == 0
 
 
-@given(st.lists(st.sets(st.integers(0, 60), min_size=1, max_size=40), min_size=1, max_size=40))
-@settings(max_examples=100, deadline=None)
-def test_traversal_loses_no_pair(sets):
-    sizes = [len(s) for s in sets]
-    bitmaps = [sum({1 << (x * 7919 % 32) for x in s}) for s in sets]
-    got = list(J.dual_traversal(J.signature_tree(sizes, bitmaps), sizes, bitmaps))
-    pairs = {tuple(sorted(p)) for p in got}
-    assert len(pairs) == len(got)
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if J.similar(len(a & sets[j]), len(a), len(sets[j]), J.NUM, J.DEN):
-                assert (j, i) in pairs
+@given(st.lists(st.sets(st.integers(0, 60), min_size=1, max_size=40), min_size=1, max_size=60), st.integers(0, 60), st.booleans(), st.sampled_from([50, 75, 90]))
+@settings(max_examples=150, deadline=None)
+def test_traversal_loses_no_pair(sets, visitors, labelled, num):
+    """Every link between hosts, or between visitors and hosts; with labels those that join them, and never a link too many."""
+    rows = [np.sort(np.array([x * 7919 << 20 for x in s], np.uint64)) for s in sets]
+    hosts = max(1, len(sets) - visitors)
+    like = lambda i, j: J.similar(len(sets[i] & sets[j]), len(sets[i]), len(sets[j]), num, 100)
+    pairs = [(i, j) for j in range(hosts) for i in (range(hosts, len(sets)) if hosts < len(sets) else range(j)) if like(i, j)]
+    label = np.array([k % 7 if labelled else k for k in range(len(sets))])
+    apart = np.arange(len(sets))
+    every = [(int(i), int(j)) for x, y in Block(rows, hosts).links(num, 100, None, apart) for i, j in zip(x, y, strict=True)]
+    assert sorted(tuple(sorted(p)) for p in every) == sorted(tuple(sorted(p)) for p in pairs)
+    some = [(int(i), int(j)) for x, y in Block(rows, hosts).links(num, 100, label, apart) for i, j in zip(x, y, strict=True)]
+    assert set(map(frozenset, some)) <= set(map(frozenset, pairs)) and len(some) < max(2, len(set(label.tolist())))
+    joined = lambda found: brute.roots(set(label.tolist()), [(int(label[i]), int(label[j])) for i, j in found])
+    assert joined(some) == joined(pairs)
+
+
+def test_bounds_drop_what_is_far():
+    """Sets without a common token are dropped at the trees' upper levels; their pairs are never listed."""
+    sets = [np.sort(mix(np.arange(k * 100, k * 100 + 100, dtype=np.uint64))) for k in range(200)]
+    block = Block(sets, len(sets))
+    a, _, b, _ = block._trees()
+    assert sum(len(i) for i, _ in dual_traversal(a, b, 75, 100)) < 200 and not list(block.links(75, 100))
+
+
+@pytest.mark.parametrize("block", [J.BLOCK, 16])
+def test_a_dense_group_gives_few_links(spark, block):
+    """Near copies that are not all near one leader: one component, from fewer links than there are sets in a block and its visitors."""
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            w[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = brute.near_classes(rows)
+    assert {r.doc_id: r.component_id for r in J.classes(df, block=block).collect()} == want
+    members, company, sets = J._dealt(df, "doc_id", "text", 75, 100)
+    _, found = J._in_families(company, sets, 75, 100, block, False)
+    assert found.count() <= 120 * (1 if block > 120 else 3)
+
+
+def test_whole_groups():
+    rng = random.Random(3)
+    keys = sorted((rng.randrange(6), rng.randrange(3)) for _ in range(200))
+    rows = pa.RecordBatch.from_arrays([pa.array([a for a, _ in keys]), pa.array([b for _, b in keys]), pa.array(range(200))], ["a", "b", "c"])
+    for size in (1, 7, 50, 200):
+        parts = list(whole_groups(iter([rows.slice(k, size) for k in range(0, 200, size)] + [rows.slice(0, 0)]), 2))
+        ends = [set(zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)) for p in parts]
+        assert sum(map(len, ends)) == len(set().union(*ends)) and [x for p in parts for x in p.column(2).to_pylist()] == list(range(200))
 
 
 def test_components(spark):
@@ -79,9 +125,8 @@ def test_components(spark):
 
 
 @pytest.mark.parametrize(("seed", "block"), [(4, J.BLOCK), (5, 3)])
-def test_links_are_complete(spark, monkeypatch, seed, block):
+def test_links_are_complete(spark, seed, block):
     """Every link between distinct sets, in a dense group too, where components need a spanning part only."""
-    monkeypatch.setattr(J, "PAIRS", 7)
     rng = random.Random(seed)
     rows = corpus(seed)
     dense = [f"d{k}" for k in range(200)]

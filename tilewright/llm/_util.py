@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import contextlib
-import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir
+
 BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-_LOCAL_DIR: str | None = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,16 +34,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); only where it is unset, as in tests, a local one."""
-    global _LOCAL_DIR
-    if named := spark.conf.get("spark.checkpoint.dir", None):
-        return named
-    if _LOCAL_DIR is None:
-        _LOCAL_DIR = tempfile.mkdtemp(prefix="tilewright-")
-    return f"file://{_LOCAL_DIR}"
-
-
 @contextlib.contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
     """Arrow batches of at most BATCH_BYTES while plans of wide rows run, so that a task's memory is bounded."""
@@ -60,7 +51,7 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
 def materialize(df: DataFrame, stem: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{stem}-{uuid.uuid4().hex}"
     with _small_batches(spark):
         df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -76,7 +67,30 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver drop the shuffle files of plans that are done; else they stay until it happens to collect garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by their first ``keys`` columns, again in batches, none of which ends within a group of equal keys.
+
+    One group is held at a time, besides what came with it.
+    """
+    held: list[pa.RecordBatch] = []
+    last: tuple = ()
+
+    def all_held() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in range(keys)]
+        here = tuple(c[-1] for c in columns)
+        other = np.flatnonzero(np.logical_or.reduce([c != v for c, v in zip(columns, here, strict=True)]))
+        begin = int(other[-1]) + 1 if len(other) else 0
+        if begin:
+            held.append(batch.slice(0, begin))
+        if held and (begin or last != here):
+            yield all_held()
+            held = []
+        held.append(batch.slice(begin))
+        last = here
+    if held:
+        yield all_held()

@@ -9,24 +9,27 @@ is at least t = NUM/DEN. The join is exact on those hashes:
    Of two linked sets, let a be the one whose dealt shingles end first. They share t * n of a's shingles or more, and all
    but (1 - REACH) * n of those are dealt out by both sides. So a set with fewer than (REACH - 1 + t) * n
    dealt shingles in company has no link, and is dropped; few sets but near duplicates stay.
-3. Each set left is compared with one leader, the one it shares most dealt shingles with. That settles dense groups
-   with one comparison a document, and their components are computed.
-4. Linked sets share one of their first (1 - t) * n + 1 shingles. Of those shingles the ones whose sets lie in different
-   components remain, and one shingle stands for all with the same sets. For each a signature tree is built: its nodes
-   hold the OR of their sets' bitmaps and the range of their sizes. A dual traversal drops node pairs whose largest
-   possible overlap is too small; the pairs of sets left, across components only, are compared by their shingles.
-   A shingle with more sets than BLOCK is split into blocks, and each pair of blocks is traversed.
+3. Each set left points at the least set of most of its dealt shingles; sets so joined are a family. The sets of a family go to
+   one task, which grows a signature tree of them (``signature_tree``): its nodes hold the OR of their sets' bitmaps and the
+   range of their sizes, and a dual traversal drops node pairs whose largest possible overlap is too small. The sets
+   of the pairs left are compared in the same task. What comes out is one row for each set that links join to a lesser
+   one, so a group of any density gives fewer rows than it has sets.
+4. Linked sets of different families share at least (REACH - 1 + t) * n dealt shingles that sets of another family
+   hold, and one of the first (1 - t) * n + 1. The sets that have so many meet again, by shingle; one shingle
+   stands for all with the same sets. Their trees are traversed as before.
 5. Components of the links found become components of documents.
 
-``links`` returns every link: it skips step 3, and in step 4 all shingles shared by two sets remain, so that each pair
-of sets is compared, those of one component too. The leader step serves components only.
+A family or shingle of more than BLOCK sets, or WEIGHT shingles in all, is split into blocks. Of its sets those of its main
+component are in their block only, as hosts; all others visit every block, too. Two sets of one block, or a
+host and a visitor, are compared in one task; two sets of the main component need not be.
+
+``links`` returns every link: labels are not joined there, so all sets are visitors and each pair of sets is compared.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._marks import bitmap, marked
-from ._util import fresh, materialize, release
+from ._util import drop_table, fresh, materialize, whole_groups
 from ._words import SPACED, buffers, chunks, grams, mix, word_hashes
 from .components import components
+from .signature_tree import Block
 
 SHINGLE = 5
 NUM, DEN = 75, 100
 REACH = (2, 5)
 SAMPLE, SAMPLE_HITS = 16, 4
-BROADCAST_ROWS = 500_000
-BLOCK = 4096
-SIGNATURE_BITS = 2048
-LEAF = 8
-PAIRS = 1 << 16
+BROADCAST_ROWS = 100_000
+BLOCK, WEIGHT = 4096, 1 << 21
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
@@ -145,13 +146,18 @@ def _dealt_rows(token, sid, n, first) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(token), bool)), *map(pa.array, (token, sid, n, first)), nulls, nulls], _NAMES)
 
 
+_SHARED = _ROWS + ", lead bigint, lead_n bigint"
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by (member, token, sid): the members, and the shingles dealt out by two sets or more."""
-    last = None  # the last row of the batch before, and whether it is out
+    """Over rows sorted by (member, token, sid): the members, and the shingles dealt out by two sets or more, each with its least set."""
+    last = lead = None  # the last row of the batch before, and whether it is out; the least set of its shingle
     for batch in batches:
         member = batch.column(0).to_numpy(zero_copy_only=False)
         if member.any():
-            yield batch.filter(pa.array(member))
+            people = batch.filter(pa.array(member))
+            none = pa.nulls(people.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*people.columns, none, none], [*_NAMES, "lead", "lead_n"])
             batch = batch.filter(pa.array(~member))
         if not batch.num_rows:
             continue
@@ -162,10 +168,13 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = np.ones(len(token), bool)
         once[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
         columns = [c[once] for c in columns]
-        token = columns[0]
+        token, sid, n, _ = columns
         new = np.ones(len(token), bool)
         new[1:] = token[1:] != token[:-1]
-        run = np.cumsum(new) - 1
+        run, begin = np.cumsum(new) - 1, np.flatnonzero(new)
+        leads = [sid[begin], n[begin]]
+        if lead is not None:
+            leads[0][0], leads[1][0] = lead
         shared = np.bincount(run)[run] > 1
         out = shared.copy()
         if last is not None and last[1]:  # its run is known to be shared, and it is out
@@ -173,202 +182,238 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[0] = False
         k = np.flatnonzero(out)
         if len(k):
-            yield _dealt_rows(*[c[k] for c in columns])
-        last = ([c[-1] for c in columns], bool(shared[-1]))
+            rows = _dealt_rows(*[c[k] for c in columns])
+            yield pa.RecordBatch.from_arrays([*rows.columns, *[pa.array(x[run[k]]) for x in leads]], [*_NAMES, "lead", "lead_n"])
+        last, lead = ([c[-1] for c in columns], bool(shared[-1])), (leads[0][-1], leads[1][-1])
 
 
-def _as_sets(wanted):
-    """(sid, shingles) of the marked rows (mark, text); a set may come again, which does no harm."""
+_COMPANY = "sid bigint, n bigint, leader bigint, tokens array<bigint>, firsts array<boolean>"
+
+
+def _enough(count, n, num: int, den: int):
+    """Whether ``count`` shared dealt shingles of n may be a link's."""
+    return count * (REACH[1] * den) >= n * ((REACH[0] - REACH[1]) * den + REACH[1] * num)
+
+
+def _accompany(num: int, den: int):
+    """Over rows (sid, lead, token, n, first, lead_n) sorted by (sid, lead): one row for each set with enough company."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(marked(wanted.value, batch.column(0).to_numpy().view(np.uint64))))
-            sids, sets = [], []
-            for shingles in sets_of(batch.column(1)):
-                if len(shingles):
-                    sids.append(set_id(shingles))
-                    sets.append(shingles.tobytes())
-            for at in range(0, len(sids), 1000):
-                yield pa.RecordBatch.from_arrays([pa.array(sids[at : at + 1000], pa.int64()), pa.array(sets[at : at + 1000], pa.binary())], ["sid", "shingles"])
+        for rows in whole_groups(batches, 1):
+            sid, lead, token, n, first, lead_n = (c.to_numpy(zero_copy_only=False) for c in rows.columns)
+            begin = np.flatnonzero(np.append(True, sid[1:] != sid[:-1]))
+            count = np.diff(np.append(begin, len(sid)))
+            good = _enough(count, n[begin], num, den)
+            keep = np.repeat(good, count)
+            if not keep.any():
+                continue
+            sid, lead, token, n, first, lead_n = (c[keep] for c in (sid, lead, token, n, first, lead_n))
+            begin = np.flatnonzero(np.append(True, sid[1:] != sid[:-1]))
+            count = np.diff(np.append(begin, len(sid)))
+            vote = np.flatnonzero(np.append(True, (sid[1:] != sid[:-1]) | (lead[1:] != lead[:-1])))
+            votes = np.diff(np.append(vote, len(sid)))
+            fits = (n[vote] * den >= lead_n[vote] * num) & (lead_n[vote] * den >= n[vote] * num) & (sid[vote] != lead[vote])
+            votes = np.where(fits & _enough(votes, n[vote], num, den), votes, 0)
+            owner = np.searchsorted(begin, vote, side="right") - 1
+            best = np.lexsort((-lead[vote], votes, owner))  # the last of each owner: most votes, then the least leader
+            best = best[np.append(owner[best][1:] != owner[best][:-1], True)]
+            leader = pa.array(lead[vote[best]], mask=votes[best] == 0)
+            offsets = pa.array(np.append(begin, len(sid)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in (token, first)]
+            yield pa.RecordBatch.from_arrays([pa.array(sid[begin]), pa.array(n[begin]), leader, *lists], ["sid", "n", "leader", "tokens", "firsts"])
 
     return run
 
 
-def _only_marked(marks, *columns: int):
-    """Rows with marks for all of the columns (numbers of the row's columns)."""
+def _strong(num: int, den: int):
+    """Over rows (sid, token, first, n, fam, label) sorted by sid: core rows of the sets with enough of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for k in columns:
-                keep &= marked(marks.value, batch.column(k).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(keep))
+        for rows in whole_groups(batches, 1):
+            sid, n, first = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 3, 2))
+            begin = np.flatnonzero(np.append(True, sid[1:] != sid[:-1]))
+            count = np.diff(np.append(begin, len(sid)))
+            keep = np.repeat(_enough(count, n[begin], num, den), count) & first
+            if keep.any():
+                yield rows.filter(pa.array(keep))
 
     return run
 
 
-def _verify(num: int, den: int):
+def _as_sets(wanted):
+    """(mark, sid, shingles) of the rows (mark, text) that the bitmap marks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                keep.append(similar(int((both[1:] == both[:-1]).sum()), len(x), len(y), num, den))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            batch = batch.filter(pa.array(marked(wanted.value, batch.column(0).to_numpy().view(np.uint64))))
+            for first in range(0, batch.num_rows, 1000):
+                rows = batch.slice(first, 1000)
+                sets = list(sets_of(rows.column(1)))
+                sids = [set_id(s) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["mark", "sid", "shingles"])
 
     return run
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    """Rows of two numbers, broadcast if a count shows that they are few; more are joined by shuffle."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+def _only_marked(marks: Broadcast, column: int):
+    """Rows whose value in a column (by number) is marked; those marked by mistake are for an exact join to drop."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(marks.value, batch.column(column).to_numpy().view(np.uint64))))
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; ``pairs`` is a stored table."""
-    spark = pairs.sparkSession
-    marks = {side: spark.sparkContext.broadcast(bitmap(pairs, side)) for side in ("a", "b")}
-    left_sets, right_sets = (sets.mapInArrow(_only_marked(marks[side], 0), "sid bigint, shingles binary") for side in ("a", "b"))
-    left = left_sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
-    right = right_sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y"))
-    return left.join(_small(pairs), "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a bigint, b bigint")
+    return run
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for s in batch.column(1):
-            bits = np.zeros(SIGNATURE_BITS, np.uint8)
-            bits[(np.frombuffer(s.as_buffer(), np.uint64) >> np.uint64(20)) % np.uint64(SIGNATURE_BITS)] = 1
-            out.append(np.packbits(bits).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["sid", "signature"])
-
-
-@dataclass
-class Node:
-    """Sets lo..hi of a list: OR of their bitmaps, their sizes' range, the most shingles a bitmap has lost to shared bits."""
-
-    bits: int
-    least: int
-    most: int
-    lost: int
-    kids: tuple[Node, ...]
-    rows: tuple[int, ...]
-
-
-def signature_tree(sizes: list[int], bitmaps: list[int]) -> Node | None:
-    """A tree over the sets in order of size, LEAF sets a leaf, four nodes a node."""
-    order = sorted(range(len(sizes)), key=lambda i: (sizes[i], bitmaps[i]))
-    level = []
-    for first in range(0, len(order), LEAF):
-        rows = tuple(order[first : first + LEAF])
-        bits = 0
-        for i in rows:
-            bits |= bitmaps[i]
-        level.append(Node(bits, sizes[rows[0]], sizes[rows[-1]], max(sizes[i] - bitmaps[i].bit_count() for i in rows), (), rows))
-    while len(level) > 1:
-        above = []
-        for first in range(0, len(level), 4):
-            kids = tuple(level[first : first + 4])
-            bits = 0
-            for k in kids:
-                bits |= k.bits
-            above.append(Node(bits, min(k.least for k in kids), max(k.most for k in kids), max(k.lost for k in kids), kids, ()))
-        level = above
-    return level[0] if level else None
-
-
-def possible(bits_a: int, least_a: int, most_a: int, lost_a: int, bits_b: int, least_b: int, most_b: int, lost_b: int, num: int, den: int) -> bool:
-    """Whether sets so described can be similar enough: their overlap is at most the common bits plus what one side lost."""
-    if most_a * den < num * least_b or most_b * den < num * least_a:
-        return False
-    overlap = min(most_a, most_b, (bits_a & bits_b).bit_count() + min(lost_a, lost_b))
-    return overlap * (den + num) >= num * (least_a + least_b)
-
-
-def dual_traversal(root: Node, sizes: list[int], bitmaps: list[int], num: int = NUM, den: int = DEN) -> Iterator[tuple[int, int]]:
-    """Pairs of rows that the bounds can't exclude, each once."""
-    lost = [n - b.bit_count() for n, b in zip(sizes, bitmaps, strict=True)]
-    work = [(root, root)]
-    while work:
-        a, b = work.pop()
-        if a is not b and not possible(a.bits, a.least, a.most, a.lost, b.bits, b.least, b.most, b.lost, num, den):
-            continue
-        if a.kids or b.kids:
-            if a is b:
-                work += [(x, y) for k, x in enumerate(a.kids) for y in a.kids[k:]]
-            elif a.kids:
-                work += [(x, b) for x in a.kids]
-            else:
-                work += [(a, y) for y in b.kids]
-            continue
-        for k, i in enumerate(a.rows):
-            for j in a.rows[k + 1 :] if a is b else b.rows:
-                if possible(bitmaps[i], sizes[i], sizes[i], lost[i], bitmaps[j], sizes[j], sizes[j], lost[j], num, den):
-                    yield i, j
+def _small(rows: DataFrame) -> DataFrame:
+    """Stored rows of a few numbers, broadcast if a count shows that they are few; more are joined by shuffle."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
-def _traverse(num: int, den: int):
-    """Over rows (token, i, j, sid, n, block, label, signature, tokens) sorted by (token, i, j): candidate pairs.
+def _compare(num: int, den: int, every: bool):
+    """Over rows (grp, i, j, visitor, sid, label, apart, shingles) sorted by the first four, with ``every`` links (a, b) of sets.
 
-    A pair comes from the least token that both sets hold, so it comes once.
+    Else the labels that a task's links join to others, each with the least of those: (label, least label).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-
-        def settle() -> Iterator[pa.RecordBatch]:
-            sizes = [r[4] for r in group]
-            bitmaps = [int.from_bytes(r[7], "big") for r in group]
-            across = group[0][1] != group[0][2]
-            before = [frozenset(t for t in r[8] if t < r[0]) for r in group]
-            root, a, b = signature_tree(sizes, bitmaps), [], []
-            for i, j in dual_traversal(root, sizes, bitmaps, num, den) if root else ():
-                x, y = group[i], group[j]
-                if x[6] != y[6] and not (across and x[5] == y[5]) and before[i].isdisjoint(before[j]):
-                    a.append(min(x[3], y[3]))
-                    b.append(max(x[3], y[3]))
-                    if len(a) == PAIRS:
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                        a, b = [], []
+        for rows in whole_groups(batches, 3):
+            keys = [c.to_numpy() for c in rows.columns[:3]]
+            new = np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in keys]))
+            bounds = np.append(np.flatnonzero(new), rows.num_rows)
+            visitor = rows.column(3).to_numpy(zero_copy_only=False)
+            sid, label, apart = (rows.column(k).to_numpy() for k in (4, 5, 6))
+            a, b = [], []
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                hosts = int((~visitor[lo:hi]).sum())
+                if hosts == 0 or hi - lo == 1 or (hosts == hi - lo) != (keys[1][lo] < 0):
+                    continue
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column(7).slice(lo, hi - lo)]
+                mine = (sid if every else label)[lo:hi]
+                found = list(Block(sets, hosts).links(num, den, None if every else label[lo:hi], apart[lo:hi]))
+                if found:
+                    x, y = (mine[np.concatenate(ends)] for ends in zip(*found, strict=True))
+                    x, y = (np.minimum(x, y), np.maximum(x, y)) if every else stars(x, y)
+                    a.append(x)
+                    b.append(y)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if group and row[:3] != group[0][:3]:
-                    yield from settle()
-                    group = []
-                group.append(row)
-        if group:
-            yield from settle()
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]).filter(pa.array(a != b))
 
     return run
 
 
-def _rest(shared: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """Candidate pairs (a, b) across components, from the shingles that more than one component shares."""
-    roots = roots.select(F.col("node").alias("sid"), F.col("root").alias("label"))
-    rows = shared.join(_small(roots), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    rows = rows.repartition("token")  # serves the grouping and the join below
+def stars(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of links that join something each, with the least end reached, itself left out."""
+    root: dict[int, int] = {}
+
+    def find(k: int) -> int:
+        while (up := root.setdefault(k, k)) != k:
+            root[k] = k = root[up]
+        return k
+
+    for a, b in zip(x.tolist(), y.tolist(), strict=True):
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    ends = [k for k in root if find(k) != k]
+    return np.array(ends, np.int64), np.array([find(k) for k in ends], np.int64)
+
+
+_PLACED = ["grp", "i", "j", "visitor", "sid", "label", "apart"]
+
+
+def _links(placed: DataFrame, sets: DataFrame, num: int, den: int, every: bool) -> DataFrame:
+    """Links (a, b) of the sets that ``placed`` (stored) sends to the same task."""
+    marks = sets.sparkSession.sparkContext.broadcast(bitmap(placed, "sid"))
+    sets = sets.mapInArrow(_only_marked(marks, 0), "sid bigint, shingles binary")
+    rows = sets.join(_small(placed), "sid").select(*_PLACED, "shingles")
+    dealt = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "visitor")
+    return dealt.mapInArrow(_compare(num, den, every), "a bigint, b bigint")
+
+
+def _blocks(sets, weight, block: int):
+    return F.greatest(F.lit(1), F.ceil(sets / block), F.ceil(weight / WEIGHT)).cast("int")
+
+
+def _spread(rows: DataFrame, block: int, alone: bool) -> DataFrame:
+    """Tasks of rows (grp, blocks, block, sid, n, label, apart): blocks by themselves if ``alone``, and with visitors.
+
+    The members of a group's main label are hosts only, so rows grow with the blocks only for the others.
+    """
+    own = rows.filter("blocks = 1").select("grp", F.lit(-1).alias("i"), F.lit(0).alias("j"), F.lit(False).alias("visitor"), "sid", "label", "apart")
+    wide = rows.filter("blocks > 1")
+    by_label = wide.groupBy("grp", "label").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    main = by_label.groupBy("grp").agg(F.max_by(F.struct("label", "m", "w"), F.struct("m", "label")).alias("main"), F.sum("m").alias("m"), F.sum("w").alias("w"))
+    others = F.col("m") - F.col("main.m")
+    shelves = F.when(others > 0, _blocks(others, F.col("w") - F.col("main.w"), block)).otherwise(0)
+    wide = wide.join(main.select("grp", F.col("main.label").alias("main"), shelves.alias("shelves")), "grp")
+    visited = F.when(F.col("shelves") > 0, F.sequence(F.lit(0), F.col("shelves") - 1)).otherwise(F.array().cast("array<int>"))
+    tasks = F.concat(F.array(F.lit(-1)), visited) if alone else visited
+    hosts = wide.select("grp", F.explode(tasks).alias("i"), F.col("block").alias("j"), F.lit(False).alias("visitor"), "sid", "label", "apart")
+    shelf = F.pmod(F.xxhash64("sid", F.lit(1)), F.col("shelves")).cast("int")
+    guests = wide.filter("label <> main").select("grp", shelf.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("visitor"), "sid", "label", "apart")
+    return (own.unionByName(hosts) if alone else hosts).unionByName(guests)
+
+
+def _in_families(company: DataFrame, sets: DataFrame, num: int, den: int, block: int, every: bool) -> tuple[DataFrame, DataFrame]:
+    """(sid, fam) of the sets in families, and what links inside families give: all of them, or (a, b) with b the root of a."""
+    families = components(company.filter("leader is not null"), "sid", "leader").select(F.col("node").alias("sid"), F.col("root").alias("fam"))
+    named = company.select("sid", "n").join(_small(families), "sid", "left").withColumn("fam", F.coalesce("fam", "sid"))
+    size = named.groupBy("fam").agg(F.count("*").alias("m"), F.sum("n").alias("w")).filter("m > 1")
+    home = named.join(size.select("fam", _blocks(F.col("m"), F.col("w"), block).alias("blocks")), "fam")
+    home = materialize(home.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")), "families")
+    # here sets are apart from themselves only
+    placed = home.select(F.col("fam").alias("grp"), F.lit(-1).alias("i"), F.col("block").alias("j"), F.lit(False).alias("visitor"), "sid", F.col("sid").alias("label"), F.col("sid").alias("apart"))
+    found = materialize(_links(placed, sets, num, den, every), "links-in-blocks")
+    wide = home.filter("blocks > 1")
+    if wide.limit(1).count():
+        rows = wide.select(F.col("fam").alias("grp"), "blocks", "block", "sid", "n", F.col("sid").alias("apart"))
+        rows = rows.withColumn("label", F.col("sid")) if every else _labelled(rows, found)
+        placed = materialize(_spread(rows, block, False), "family-visits")
+        both = found.unionByName(_links(placed, sets, num, den, every))
+        joined = both if every else components(both, "a", "b").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        joined = materialize(joined, "links-in-families")
+        for used in (placed, found):
+            drop_table(used)
+        found = joined
+    return home.select("sid", "fam"), found
+
+
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the label of sid: its root, or itself."""
+    roots = roots.select(F.col("a").alias("sid"), F.col("b").alias("label"))
+    return rows.join(_small(roots), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
+
+def _across(company: DataFrame, home: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int, block: int, every: bool) -> DataFrame:
+    """Links between sets of different families and of different components, (a, b) with b the root of a in ``roots``: all, or the labels they join."""
+    where = _labelled(company.select("sid", "n", "tokens", "firsts").join(_small(home), "sid", "left").withColumn("fam", F.coalesce("fam", "sid")), roots)
+    rows = where.select("sid", "n", "fam", "label", F.explode(F.arrays_zip("tokens", "firsts")).alias("dealt"))
+    rows = rows.select("sid", F.col("dealt.tokens").alias("token"), F.col("dealt.firsts").alias("first"), "n", "fam", "label")
+    mixed = rows.groupBy("token").agg(F.min("fam").alias("low"), F.max("fam").alias("high")).filter("low <> high").select("token")
+    mixed = materialize(mixed, "mixed-tokens")
+    marks = company.sparkSession.sparkContext.broadcast(bitmap(mixed, "token"))
+    shape = "sid bigint, token bigint, first boolean, n bigint, fam bigint, label bigint"
+    core = rows.select("sid", "token", "first", "n", "fam", "label").mapInArrow(_only_marked(marks, 1), shape).join(_small(mixed), "token", "left_semi")
+    core = core.select("sid", "token", "first", "n", "fam", "label").repartition("sid").sortWithinPartitions("sid")
+    core = materialize(core.mapInArrow(_strong(num, den), shape), "mixed-shingles")
+    drop_table(mixed)
+    several = (F.min("fam") != F.max("fam")) & (F.min("label") != F.max("label"))
     same = [F.bit_xor(F.xxhash64("sid", F.lit(k))).alias(f"same{k}") for k in (0, 1)]
-    mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), *same).filter("low <> high")
-    mixed = mixed.groupBy("same0", "same1", "size").agg(F.min("token").alias("token"))
-    mixed = mixed.select("token", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    rows = materialize(rows.join(mixed, "token"), "mixed-shingles")
-    signed = sets.mapInArrow(_sign, "sid bigint, signature binary")
-    signed = signed.join(rows.groupBy("sid").agg(F.collect_list("token").alias("tokens")), "sid")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "sid", "n", "block", "label").join(signed, "sid")
-    rows = rows.select("token", "i", "j", "sid", "n", "block", "label", "signature", "tokens").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return rows.mapInArrow(_traverse(num, den), "a bigint, b bigint")
-
-
-def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Broadcast]:
-    """Source, members (did, text_hash, sid, n), dealt shingles of the sets in company, those sets, and their marks."""
+    groups = core.groupBy("token").agg(several.alias("mixed"), F.count("*").alias("m"), F.sum("n").alias("w"), *same).filter("mixed")
+    groups = groups.groupBy("same0", "same1", "m").agg(F.min("token").alias("token"), F.first("w").alias("w"))
+    groups = groups.select("token", _blocks(F.col("m"), F.col("w"), block).alias("blocks"))
+    rows = core.join(groups, "token").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    rows = rows.select(F.col("token").alias("grp"), "blocks", "block", "sid", "n", "label", F.col("fam").alias("apart"))
+    placed = materialize(_spread(rows, block, True), "meetings")
+    drop_table(core)
+    found = materialize(_links(placed, sets, num, den, every), "links-across")
+    drop_table(placed)
+    return found
+
+
+def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Members (did, text_hash, sid, n), the sets in company, their shingles, and the table that members are read from."""
     if not 0 < num <= den:
         raise ValueError(f"the threshold {num}/{den} is not above 0 and at most 1")
     spark = docs.sparkSession
@@ -376,27 +421,22 @@ def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[Da
     source = docs.select(F.col(key).cast("bigint").alias("did"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
     hot = spark.sparkContext.broadcast(bitmap(_frequent(source, num, den), "token"))
     dealt = source.mapInArrow(_deal(hot, num, den), _ROWS)
-    met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(_meet, _ROWS), "dealt-shingles")
-    release(spark)
-    members, shared = met.filter("member").select("did", "text_hash", "sid", "n"), met.filter("not member").select("token", "sid", "n", "first")
-
-    down, least = REACH[1], F.col("n") * ((REACH[0] - REACH[1]) * den + REACH[1] * num)
-    company = shared.groupBy("sid", "n").agg(F.count("*").alias("met")).filter(F.col("met") * (down * den) >= least).select("sid")
-    company = materialize(company, "sets-in-company")
-    marks = spark.sparkContext.broadcast(bitmap(company, "sid"))
-    shared = shared.select("token", "sid", "n", "first").mapInArrow(_only_marked(marks, 1), "token bigint, sid bigint, n bigint, first boolean")
-    return source, members, shared, company, marks
-
-
-def _chosen(source: DataFrame, members: DataFrame, company: DataFrame, marks: Broadcast) -> DataFrame:
-    """(sid, shingles) of the sets in company, stored."""
-    spark = source.sparkSession
+    met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(_meet, _SHARED), "dealt-shingles")
+    members, shared = met.filter("member").select("did", "text_hash", "sid", "n"), met.filter("not member").select("sid", "lead", "token", "n", "first", "lead_n")
+    company = materialize(shared.repartition("sid").sortWithinPartitions("sid", "lead").mapInArrow(_accompany(num, den), _COMPANY), "sets-in-company")
+    members = materialize(members, "set-members")
+    drop_table(met)
     # one document of each set
     row_mark = F.xxhash64("did", "text_hash")
-    chosen = members.join(company, "sid", "left_semi").groupBy("sid").agg(F.min(row_mark).alias("mark"))
+    chosen = members.groupBy("sid").agg(F.min(row_mark).alias("mark")).join(company.select("sid"), "sid", "left_semi").select("mark")
+    chosen = materialize(chosen, "chosen-documents")
     wanted = spark.sparkContext.broadcast(bitmap(chosen, "mark"))
-    sets = source.select(row_mark.alias("mark"), "text").mapInArrow(_as_sets(wanted), "sid bigint, shingles binary")
-    return materialize(sets.mapInArrow(_only_marked(marks, 0), "sid bigint, shingles binary"), "shingle-sets")
+    sets = source.select(row_mark.alias("mark"), "text").mapInArrow(_as_sets(wanted), "mark bigint, sid bigint, shingles binary")
+    sets = materialize(sets.join(_small(chosen), "mark", "left_semi").select("sid", "shingles"), "shingle-sets")
+    drop_table(chosen)
+    for used in (hot, wanted):
+        used.unpersist()
+    return members, company, sets
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
@@ -404,32 +444,17 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int =
 
     component_id is the least key reachable by links; null keys count as greatest, and a component of null keys has
     none. A null, empty or blank text has an empty set and is linked with nothing. Rows equal in key and text
-    are one document, and is_first is true for each of them. Other columns are ignored.
+    are one document, and is_first is true for each of them. An empty table gives an empty result. Other columns are
+    ignored, whatever their names.
     """
-    spark = docs.sparkSession
-    source, members, shared, company, marks = _dealt(docs, key, text, num, den)
-    by_token = shared.repartition("token")  # serves the grouping and the join
-    leaders = by_token.groupBy("token").agg(F.min("sid").alias("a"), F.min_by("n", "sid").alias("m"))
-    led = by_token.join(leaders, "token").filter((F.col("sid") != F.col("a")) & (F.least("n", "m") * den >= F.greatest("n", "m") * num))
-    votes = led.groupBy(F.col("sid").alias("b"), "a").agg(F.count("*").alias("votes"))
-    pairs = materialize(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "leader-pairs")
-    shared = shared.filter("first").select("token", "sid", "n")
-    sets = _chosen(source, members, company, marks)
-    release(spark)
-
-    near = components(_links(pairs, sets, num, den), "a", "b")
-    release(spark)
-    candidates = materialize(_rest(shared, near, sets, num, den, block).join(pairs, ["a", "b"], "left_anti"), "candidate-pairs")
-    far = _links(candidates, sets, num, den)
-    label = near.select(F.col("node").alias("sid"), F.col("root").alias("label"))
-    ends = far
-    for side in ("a", "b"):
-        ends = ends.join(label.withColumnRenamed("sid", side), side, "left").withColumn(side, F.coalesce("label", side)).drop("label")
-    joined = components(ends, "a", "b").select(F.col("node").alias("label"), F.col("root"))
-
-    named = members.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    named = named.join(joined, "label", "left").withColumn("component", F.coalesce("root", "label"))
+    members, company, sets = _dealt(docs, key, text, num, den)
+    home, near = _in_families(company, sets, num, den, block, False)
+    far = _across(company, home, near, sets, num, den, block, False)
+    joined = components(far, "a", "b").select(F.col("node").alias("label"), "root")
+    named = _labelled(members, near).join(_small(joined), "label", "left").withColumn("component", F.coalesce("root", "label"))
     named = materialize(named.select("did", "text_hash", "n", "component"), "members")
+    for used in (members, company, sets, home, near, far):
+        drop_table(used)
     order = F.struct(F.col("did").isNull().alias("none"), F.col("did"), F.col("text_hash"))
     first = named.filter("component is not null").groupBy("component").agg(F.min(order).alias("first"))
     linked = named.filter("component is not null").join(first, "component").select(
@@ -446,13 +471,12 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = N
     Rows with equal set_id have equal sets and are linked by that; an empty set has set_id null and links with nothing.
     The links of a group grow with the square of its distinct sets; no pair is left out.
     """
-    source, members, shared, company, marks = _dealt(docs, key, text, num, den)
-    shared = shared.filter("first").select("token", "sid", "n")
-    sets = _chosen(source, members, company, marks)
-    apart = company.filter("false").select(F.col("sid").alias("node"), F.col("sid").alias("root"))
-    candidates = materialize(_rest(shared, apart, sets, num, den, block), "candidate-pairs")
+    members, company, sets = _dealt(docs, key, text, num, den)
+    home, near = _in_families(company, sets, num, den, block, True)
+    none = company.filter("false").select(F.col("sid").alias("a"), F.col("sid").alias("b"))
+    far = _across(company, home, none, sets, num, den, block, True)
     rows = members.select(F.col("did").cast(docs.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"))
-    return rows, _links(candidates, sets, num, den).distinct()
+    return rows, near.unionByName(far).distinct()
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
