@@ -118,6 +118,12 @@ SELECT b AS borYear, nullif(greatest(b // 100, 0), 0)::INT AS year, {_NAME('b %
         "tile_addresses": f"{_WITH}, px AS (SELECT DISTINCT {_pixel(4326, TILE_ZOOM)[0]} AS x, {_pixel(4326, TILE_ZOOM)[1]} AS y FROM (SELECT decimalLatitude AS lat, decimalLongitude AS lng FROM occ)) {_addresses(4326, TILE_ZOOM, 'SELECT * FROM px', 'x, y')}",
         "zoom_cascade": f"{_WITH}, so AS (SELECT * FROM tin WHERE lat <= 1) "
         + " UNION ALL ".join(f"SELECT {epsg} AS epsg, {z} AS z, * FROM ({_pixel_counts(epsg, z, source)})" for epsg, source in ((3857, "tin"), (3031, "so")) for z in range(CASCADE_TOP + 1)),
+        "pyramid_totals": f"{_WITH}, so AS (SELECT * FROM tin WHERE lat <= 1) "
+        + " UNION ALL ".join(
+            f"SELECT {epsg} AS epsg, {z} AS z, count(*) AS pixels, CAST(sum(occCount) AS BIGINT) AS records, CAST(sum(((CAST(x AS BIGINT) * 31 + CAST(y AS BIGINT) * 17 + borYear) * occCount) % 1000003) AS BIGINT) AS check_sum"
+            f" FROM ({_pixel_counts(epsg, z, 'so' if epsg == 3031 else 'tin')})"
+            for epsg in (3857, 4326, 3575, 3031) for z in range(PIXEL_ZOOM + 1)
+        ),
         "tile_layer_attributes": f"{_WITH} SELECT mapKey, tileX, tileY, {_NAME('borYear % 100')} AS layer, pixelX, pixelY, coalesce(nullif(borYear // 100, 0)::VARCHAR, 'null') AS year, occCount FROM ({_tile_rows(4326, TILE_ZOOM)})",
         "salted_tile_key": f"{_WITH} SELECT key, {_salted('key')} AS row_key FROM ({tile_keys})",
         "salted_point_key": f"{_WITH} SELECT mapKey, {_salted('mapKey')} AS row_key FROM sizes",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -189,6 +190,16 @@ def zoom_cascade(spark, sf_dir):
     return pyramid.pyramid(counts, 3857, CASCADE_TOP).unionByName(pyramid.pyramid(tiles.south(counts), 3031, CASCADE_TOP))
 
 
+@query
+def pyramid_totals(spark, sf_dir):
+    """All projections from zoom 16 down to 0, as a build makes them: pixels, records and a check sum of each zoom."""
+    counts = _counts(spark, sf_dir, True)
+    levels = [pyramid.pyramid(tiles.south(counts) if epsg == 3031 else counts, epsg, PIXEL_ZOOM) for epsg in projection.GRIDS]
+    every = reduce(DataFrame.unionByName, levels)
+    check = (F.col("x").cast("bigint") * 31 + F.col("y").cast("bigint") * 17 + F.col("borYear")) * F.col("occCount")
+    return every.groupBy("epsg", "z").agg(F.count("*").alias("pixels"), F.sum("occCount").alias("records"), F.sum(F.pmod(check, F.lit(1000003))).alias("check_sum"))
+
+
 @query
 def tile_layer_attributes(spark, sf_dir):
     rows = tiles.tile_rows(tiles.pixel_counts(_counts(spark, sf_dir, True), 4326, TILE_ZOOM), 4326, TILE_ZOOM)
