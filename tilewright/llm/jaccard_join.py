@@ -5,7 +5,8 @@ is at least t = NUM/DEN. The join is exact on those hashes:
 
 1. Equal sets are one node, named by a hash of the set.
 2. The first REACH of each set's n shingles, or (1 - t) * n + 1 if that is more, are dealt out by shingle. Shingles are taken in hash order, those marked as
-   frequent last; the marks are a bitmap of fixed size, made from a sample, and only change the order, never the result.
+   frequent last; the marks are a bitmap of fixed size, made from the most frequent shingles of a sample, and only change the
+   order, never the result.
    Of two linked sets, let a be the one whose dealt shingles end first. They share t * n of a's shingles or more, and all
    but (1 - REACH) * n of those are dealt out by both sides. So a set with fewer than (REACH - 1 + t) * n
    dealt shingles in company has no link, and is dropped; few sets but near duplicates stay.
@@ -37,7 +38,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._marks import bitmap, marked
+from ._marks import MARK_BITS, bitmap, marked
 from ._util import drop_table, fresh, materialize, whole_groups
 from ._words import SPACED, buffers, chunks, grams, mix, word_hashes
 from .components import components
@@ -48,6 +49,7 @@ NUM, DEN = 75, 100
 REACH = (2, 5)
 SAMPLE, SAMPLE_HITS = 16, 4
 BROADCAST_ROWS = 100_000
+MOST_MARKS = 1 << MARK_BITS - 3
 BLOCK, WEIGHT = 4096, 1 << 21
 
 
@@ -91,7 +93,7 @@ def similar(shared: int, a: int, b: int, num: int, den: int) -> bool:
 
 
 def _frequent(source: DataFrame, num: int, den: int) -> DataFrame:
-    """(token) of the shingles dealt out SAMPLE_HITS times or more by one text in SAMPLE."""
+    """(token) of the shingles that one text in SAMPLE deals out most: SAMPLE_HITS times or more, or as often as leaves MOST_MARKS of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +102,14 @@ def _frequent(source: DataFrame, num: int, den: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["token"])
 
     sample = source.filter(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text")
-    return sample.mapInArrow(run, "token bigint").groupBy("token").count().filter(F.col("count") >= SAMPLE_HITS)
+    found = sample.mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("hits")).filter(F.col("hits") >= SAMPLE_HITS)
+    found = materialize(found, "frequent-shingles")
+    sizes = found.groupBy(F.floor(F.log2("hits")).alias("power")).agg(F.count("*").alias("n")).collect()  # 64 rows at most
+    least, held = SAMPLE_HITS, sum(r.n for r in sizes)
+    for power, n in sorted(map(tuple, sizes)):
+        if held > MOST_MARKS:
+            least, held = 2 << power, held - n
+    return found.filter(F.col("hits") >= least)
 
 
 _ROWS = "member boolean, token bigint, sid bigint, n bigint, first boolean, did bigint, text_hash bigint"
@@ -240,29 +249,28 @@ def _strong(num: int, den: int):
     return run
 
 
-def _as_sets(wanted):
-    """(mark, sid, shingles) of the rows (mark, text) that the bitmap marks."""
+def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, shingles) of rows (mark, text)."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 1000):
+            sets = [s for s in sets_of(batch.column(1).slice(first, 1000)) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "shingles"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(marked(wanted.value, batch.column(0).to_numpy().view(np.uint64))))
-            for first in range(0, batch.num_rows, 1000):
-                rows = batch.slice(first, 1000)
-                sets = list(sets_of(rows.column(1)))
-                sids = [set_id(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["mark", "sid", "shingles"])
 
-    return run
+def _likely(rows: DataFrame, at: int, wanted: DataFrame, column: str, shape: str) -> DataFrame:
+    """Rows whose value (in the column of that number) may be among ``wanted`` (stored), for an exact join to be made of them.
 
-
-def _only_marked(marks: Broadcast, column: int):
-    """Rows whose value in a column (by number) is marked; those marked by mistake are for an exact join to drop."""
+    A bitmap of fixed size tells. It would be too full to do so beyond MOST_MARKS values; then all rows go to the join.
+    """
+    if wanted.count() > MOST_MARKS:
+        return rows
+    marks = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, column))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(marked(marks.value, batch.column(column).to_numpy().view(np.uint64))))
+            yield batch.filter(pa.array(marked(marks.value, batch.column(at).to_numpy().view(np.uint64))))
 
-    return run
+    return rows.mapInArrow(run, shape)
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -324,9 +332,7 @@ _PLACED = ["grp", "i", "j", "visitor", "sid", "label", "apart"]
 
 def _links(placed: DataFrame, sets: DataFrame, num: int, den: int, every: bool) -> DataFrame:
     """Links (a, b) of the sets that ``placed`` (stored) sends to the same task."""
-    marks = sets.sparkSession.sparkContext.broadcast(bitmap(placed, "sid"))
-    sets = sets.mapInArrow(_only_marked(marks, 0), "sid bigint, shingles binary")
-    rows = sets.join(_small(placed), "sid").select(*_PLACED, "shingles")
+    rows = _likely(sets, 0, placed, "sid", "sid bigint, shingles binary").join(_small(placed), "sid").select(*_PLACED, "shingles")
     dealt = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "visitor")
     return dealt.mapInArrow(_compare(num, den, every), "a bigint, b bigint")
 
@@ -392,9 +398,8 @@ def _across(company: DataFrame, home: DataFrame, roots: DataFrame, sets: DataFra
     rows = rows.select("sid", F.col("dealt.tokens").alias("token"), F.col("dealt.firsts").alias("first"), "n", "fam", "label")
     mixed = rows.groupBy("token").agg(F.min("fam").alias("low"), F.max("fam").alias("high")).filter("low <> high").select("token")
     mixed = materialize(mixed, "mixed-tokens")
-    marks = company.sparkSession.sparkContext.broadcast(bitmap(mixed, "token"))
     shape = "sid bigint, token bigint, first boolean, n bigint, fam bigint, label bigint"
-    core = rows.select("sid", "token", "first", "n", "fam", "label").mapInArrow(_only_marked(marks, 1), shape).join(_small(mixed), "token", "left_semi")
+    core = _likely(rows.select("sid", "token", "first", "n", "fam", "label"), 1, mixed, "token", shape).join(_small(mixed), "token", "left_semi")
     core = core.select("sid", "token", "first", "n", "fam", "label").repartition("sid").sortWithinPartitions("sid")
     core = materialize(core.mapInArrow(_strong(num, den), shape), "mixed-shingles")
     drop_table(mixed)
@@ -430,12 +435,11 @@ def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[Da
     row_mark = F.xxhash64("did", "text_hash")
     chosen = members.groupBy("sid").agg(F.min(row_mark).alias("mark")).join(company.select("sid"), "sid", "left_semi").select("mark")
     chosen = materialize(chosen, "chosen-documents")
-    wanted = spark.sparkContext.broadcast(bitmap(chosen, "mark"))
-    sets = source.select(row_mark.alias("mark"), "text").mapInArrow(_as_sets(wanted), "mark bigint, sid bigint, shingles binary")
-    sets = materialize(sets.join(_small(chosen), "mark", "left_semi").select("sid", "shingles"), "shingle-sets")
+    texts = _likely(source.select(row_mark.alias("mark"), "text"), 0, chosen, "mark", "mark bigint, text string")
+    texts = texts.join(_small(chosen), "mark", "left_semi").select("mark", "text")
+    sets = materialize(texts.mapInArrow(_as_sets, "sid bigint, shingles binary"), "shingle-sets")
     drop_table(chosen)
-    for used in (hot, wanted):
-        used.unpersist()
+    hot.unpersist()
     return members, company, sets
 
 
