@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from .queries import CASCADE_TOP, MODULUS, PIXEL_ZOOM, RETENTION, THRESHOLD, TILE_ZOOM
+from .queries import BUILD_PROJECTIONS, BUILD_TOP, CASCADE_TOP, MODULUS, PIXEL_ZOOM, RETENTION, THRESHOLD, TILE_ZOOM
 from .sources.fixtures import duckdb_sql
 
 TILE, BUFFER = 512, 64
@@ -131,7 +131,16 @@ SELECT b AS borYear, nullif(greatest(b // 100, 0), 0)::INT AS year, {_NAME('b %
         "table_retention": "SELECT mode, name FROM (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY name DESC) AS r FROM (VALUES " + ", ".join(f"('{m}', '{n}')" for m, n in RETENTION) + ") t(mode, name)) WHERE r > 2",
         "sink_roundtrip": f"{_WITH} SELECT mapKey, lat, lng, (borYear % 100)::BIGINT AS basis, (borYear // 100)::BIGINT AS year FROM pin",
     }
+    said = f"mapKey, tileX, tileY, {_NAME('borYear % 100')} AS layer, pixelX, pixelY, coalesce(nullif(borYear // 100, 0)::VARCHAR, 'null') AS year, occCount"
     out["mvt_rows"] = out["tile_layer_attributes"]
+    out["build_points"] = out["sink_roundtrip"]
+    out["build_tiles"] = f"{_WITH} " + " UNION ALL ".join(f"SELECT {epsg} AS epsg, {z} AS z, {said} FROM ({_tile_rows(epsg, z)})" for epsg in BUILD_PROJECTIONS for z in range(BUILD_TOP + 1))
+    out["source_layouts"] = out["occ_filter"]
+    out["cell_compression"] = f"{_WITH} SELECT codec, (SELECT count(DISTINCT split_part(row_key, ':', 1)) FROM (SELECT {_salted('mapKey')} AS row_key FROM (SELECT DISTINCT mapKey FROM pin))) AS files, (SELECT count(DISTINCT mapKey) FROM pin) AS cells FROM (VALUES ('snappy'), ('gzip'), ('zstd')) t(codec)"
+    out["lifecycle_steps"] = """SELECT step, outcome FROM (VALUES ('live tiles', 'maps_tiles_20200101_0000'), ('live points', 'maps_points_20200103_0000'),
+('retired tiles', 'maps_tiles_20200102_0000'), ('retired points', 'maps_points_20200102_0000'), ('retired points', 'maps_points_20200101_0000'),
+('kept', 'maps_tiles_20200101_0000'), ('kept', 'maps_tiles_20200103_0000'), ('kept', 'maps_tiles_20200104_0000'), ('kept', 'maps_points_20200103_0000'), ('kept', 'maps_points_20200104_0000'),
+('manifest', '20200101_0000'), ('cleaned', 'False')) t(step, outcome)"""
     for epsg in (3857, 4326, 3575, 3031):
         x, y, ok = _pixel(epsg, PIXEL_ZOOM)
         out[f"global_pixel_{epsg}"] = f"{_WITH} SELECT lat, lng, {x} AS x, {y} AS y FROM (SELECT decimalLatitude AS lat, decimalLongitude AS lng FROM occ) WHERE {ok}"

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from .functions import bor_year, keys, projection, tiling, wire
 from .operators import layout, points, tiles, views
-from .plans import pyramid
+from .plans import build, lifecycle, pyramid
+from .plans.config import Config, Manifest
 from .sources import cells, fixtures, occurrences
 from .sources.shared import shared_dir
 
@@ -21,6 +22,7 @@ MODULUS = 12
 PIXEL_ZOOM = 16
 TILE_ZOOM = 3
 CASCADE_TOP = 4
+BUILD_TOP, BUILD_PROJECTIONS = 2, (4326, 3031)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,12 +244,17 @@ def mvt_bytes(spark, sf_dir):
 
 
 @query
-def mvt_rows(spark, sf_dir):
-    """Tile cells written to the salted store, read back and decoded: what ``tile_layer_attributes`` says."""
-    found = _stored(mvt_bytes(spark, sf_dir).drop("z"), "tiles")
+def point_pb_bytes(spark, sf_dir):
+    return points.cells(points.assemble(_counts(spark, sf_dir, False)), MODULUS)
+
+
+_TILE_SHAPE = "mapKey string, tileX int, tileY int, layer string, pixelX int, pixelY int, year string, occCount bigint"
+
+
+def _tile_rows_of(stored: DataFrame) -> DataFrame:
+    """Tile cells decoded: what ``tile_layer_attributes`` says of them."""
     key = F.split("row_key", ":")  # salt, view type, view, zoom, x, y
-    named = found.select(F.concat_ws(":", key[1], key[2]).alias("mapKey"), key[4].cast("int").alias("tileX"), key[5].cast("int").alias("tileY"), "value")
-    shape = "mapKey string, tileX int, tileY int, layer string, pixelX int, pixelY int, year string, occCount bigint"
+    named = stored.select(F.concat_ws(":", key[1], key[2]).alias("mapKey"), key[4].cast("int").alias("tileX"), key[5].cast("int").alias("tileY"), "value")
 
     def decode(batches):
         for batch in batches:
@@ -257,35 +264,104 @@ def mvt_rows(spark, sf_dir):
                 kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]], ["mapKey", "tileX", "tileY", "layer", "pixelX", "pixelY", "year", "occCount"])
 
-    return named.mapInArrow(decode, shape)
+    return named.mapInArrow(decode, _TILE_SHAPE)
 
 
-@query
-def point_pb_bytes(spark, sf_dir):
-    return points.cells(points.assemble(_counts(spark, sf_dir, False)), MODULUS)
+def _point_rows_of(stored: DataFrame) -> DataFrame:
+    """Point cells decoded: (mapKey, lat, lng, basis, year)."""
+
+    def decode(batches):
+        for batch in batches:
+            rows = [(k.split(":", 1)[1], *r) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in wire.read_point_features(v)]
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["mapKey", "lat", "lng", "basis", "year"])
 
+    return stored.select("row_key", "value").mapInArrow(decode, "mapKey string, lat double, lng double, basis bigint, year bigint")
 
-def _stored(made, mode):
-    """Cells written to the salted store in the shared folder, which is removed when Spark ends, and read back."""
-    spark = made.sparkSession
-    path = cells.path_of(shared_dir(spark), f"cells-{uuid.uuid4().hex}", mode)
-    cells.write(made, path, MODULUS)
+
+def _scratch(spark: SparkSession, stem: str) -> str:
+    """A new folder below the shared one, removed when Spark ends."""
+    path = f"{shared_dir(spark)}/{stem}-{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return cells.read(spark, path)
+    return path
+
+
+def _stored(made: DataFrame, mode: str) -> DataFrame:
+    """Cells written to the salted store and read back."""
+    path = cells.path_of(_scratch(made.sparkSession, "cells"), "cells", mode)
+    cells.write(made, path, MODULUS)
+    return cells.read(made.sparkSession, path)
+
+
+@query
+def mvt_rows(spark, sf_dir):
+    return _tile_rows_of(_stored(mvt_bytes(spark, sf_dir).drop("z"), "tiles"))
 
 
 @query
 def sink_roundtrip(spark, sf_dir):
-    """Point cells written to the salted store, read back and decoded: (mapKey, lat, lng, basis, year)."""
-    found = _stored(point_pb_bytes(spark, sf_dir), "points")
-    shape = "mapKey string, lat double, lng double, basis bigint, year bigint"
+    return _point_rows_of(_stored(point_pb_bytes(spark, sf_dir), "points"))
 
-    def decode(batches):
-        for batch in batches:
-            rows = [(k.split(":", 1)[1], *r) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in wire.read_point_features(v)]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["mapKey", "lat", "lng", "basis", "year"])
 
-    return found.select("row_key", "value").mapInArrow(decode, shape)
+def _built(spark: SparkSession, sf_dir: str, mode: str, **settings) -> tuple[Config, str]:
+    """A whole build from files in nested folders: its settings and the table that is live after it."""
+    base = _scratch(spark, f"build-{mode}")
+    _raw(spark, sf_dir).withColumn("half", F.pmod(F.col("kingdomKey"), F.lit(2))).write.partitionBy("half").parquet(f"{base}/in/export")
+    config = Config(source=f"{base}/in/*", target=f"{base}/maps", threshold=THRESHOLD, salt_modulus=MODULUS, partitions=4, **settings)
+    store = build.run(spark, Manifest.from_json(Manifest(mode, "20200101_0000", config).to_json()))
+    return config, lifecycle.live(store)[mode]
+
+
+@query
+def build_points(spark, sf_dir):
+    config, table = _built(spark, sf_dir, "points")
+    return _point_rows_of(cells.read(spark, cells.path_of(config.target, table, "points")))
+
+
+@query
+def build_tiles(spark, sf_dir):
+    config, table = _built(spark, sf_dir, "tiles", max_zoom=BUILD_TOP, projections=BUILD_PROJECTIONS)
+    parts = [
+        _tile_rows_of(cells.read(spark, cells.path_of(config.target, table, "tiles", f"EPSG_{epsg}", z))).select(F.lit(epsg).alias("epsg"), F.lit(z).alias("z"), "*")
+        for epsg in config.projections for z in range(config.max_zoom + 1)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def source_layouts(spark, sf_dir):
+    """Records read from nested folders by a glob, under the source's lock, and stored in a given number of files."""
+    base = _scratch(spark, "source")
+    _raw(spark, sf_dir).withColumn("part", F.pmod(F.col("kingdomKey"), F.lit(3))).write.partitionBy("part").parquet(f"{base}/in/export")
+    with lifecycle.pinned(lifecycle.Store(spark, f"{base}/maps"), f"{base}/in/ex*") as files:
+        records = occurrences.store(occurrences.map_input(occurrences.read(spark, files)), f"{base}/stored", 5)
+    return records.withColumn("networks", F.coalesce(F.array_join("networkKey", "|", "~"), F.lit("none"))).drop("networkKey")
+
+
+@query
+def cell_compression(spark, sf_dir):
+    """Point cells stored under each codec: files, one a salt, and cells read back."""
+    made, base, parts = point_pb_bytes(spark, sf_dir), _scratch(spark, "codecs"), []
+    for codec in ("snappy", "gzip", "zstd"):
+        cells.write(made, f"{base}/{codec}", MODULUS, codec)
+        stored = spark.read.parquet(f"{base}/{codec}").withColumn("file", F.input_file_name()).filter(F.col("file").contains(f".{ {'gzip': 'gz'}.get(codec, codec) }."))
+        parts.append(stored.groupBy(F.lit(codec).alias("codec")).agg(F.countDistinct("file").alias("files"), F.count("*").alias("cells")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def lifecycle_steps(spark, sf_dir):
+    """(step, outcome) of creating, publishing, retiring and cleaning versions of tables."""
+    store, steps = lifecycle.Store(spark, f"{_scratch(spark, 'store')}/maps"), []
+    made = [Manifest(mode, f"2020010{d}_0000", Config()) for mode in ("tiles", "points") for d in (1, 2, 3, 4)]
+    for k, m in enumerate(made):
+        lifecycle.create(store, m)
+        if k in (0, 4, 6):
+            lifecycle.publish(store, m)
+    steps += [(f"live {mode}", table) for mode, table in lifecycle.live(store).items()]
+    steps += [(f"retired {m.mode}", name) for m in (made[3], made[7]) for name in lifecycle.retire(store, m)]
+    steps += [("kept", name) for name in store.folders()]
+    steps += [("manifest", lifecycle.load(store, made[0].table).timestamp), ("cleaned", str(lifecycle.clean(store, "hdfs://host/data/maps")))]
+    return spark.createDataFrame(steps, "step string, outcome string")
