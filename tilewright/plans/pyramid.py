@@ -29,6 +29,7 @@ def blocks(counts: DataFrame, epsg: int, max_zoom: int, min_zoom: int = 0, tile_
         zooms = range(top, max(min_zoom, top - size + 1) - 1, -1)
         square = [F.shiftright(c, size).alias(f"b{c}") for c in ("x", "y")]
         dealt = pixels.select("mapKey", "x", "y", "borYear", "occCount", *square).repartition("mapKey", "bx", "by")
+        dealt = dealt.groupBy("mapKey", "bx", "by", "x", "y", "borYear").agg(F.sum("occCount").alias("occCount"))  # fewer rows to spread
         spread = dealt.withColumn("down", F.explode(F.array(*[F.lit(k) for k in range(len(zooms))])))
         halved = spread.select("mapKey", "bx", "by", "down", F.expr("shiftright(x, down)").alias("x"), F.expr("shiftright(y, down)").alias("y"), "borYear", "occCount")
         summed = halved.groupBy("mapKey", "bx", "by", "down", "x", "y", "borYear").agg(F.sum("occCount").alias("occCount"))
