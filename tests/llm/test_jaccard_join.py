@@ -32,8 +32,10 @@ def corpus(seed, n=150):
     return [*rows, (1001, None), (1003, ""), (1005, " \n"), (1007, "lonely"), (1009, "Lonely"), (1011, "w1 w2 w3 w4"), (1013, "w1\tw2 w3 W4")]
 
 
-@pytest.mark.parametrize(("seed", "block"), [(1, J.BLOCK), (2, 3)])
-def test_against_brute_force(spark, seed, block):
+@pytest.mark.parametrize(("seed", "block", "marks"), [(1, J.BLOCK, J.MOST_MARKS), (2, 3, 0)])
+def test_against_brute_force(spark, monkeypatch, seed, block, marks):
+    monkeypatch.setattr(J, "MOST_MARKS", marks)  # 0: no bitmap helps, all rows go to the joins
+    monkeypatch.setattr(J, "BROADCAST_ROWS", marks)
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.classes(df, block=block).collect()}
