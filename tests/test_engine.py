@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tilewright import queries
 from tilewright.functions import wire
 from tilewright.operators import layout, tiles, views
 from tilewright.plans import build, lifecycle, pyramid
@@ -201,6 +202,12 @@ def test_streaming_counts_equal_the_batch(spark, tmp_path, counts):
     assert got.exceptAll(counts).count() == 0 and counts.exceptAll(got).count() == 0
 
 
+def test_codecs_are_counted_without_cells(spark, monkeypatch):
+    monkeypatch.setattr(queries, "THRESHOLD", 1)  # every view is large, as in big tables: no point cells
+    rows = queries.QUERIES["cell_compression"](spark, SMALL).collect()
+    assert sorted(map(tuple, rows)) == [(c, 0, 0) for c in ("gzip", "snappy", "zstd")]
+
+
 def test_stored_input(spark, tmp_path, records):
     stored = occurrences.store(records, f"{tmp_path}/r1", partitions=3)
     assert stored.count() == records.count() and occurrences.store(records.limit(5), f"{tmp_path}/r1").count() == 5

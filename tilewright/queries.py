@@ -347,7 +347,8 @@ def cell_compression(spark, sf_dir):
     for codec in ("snappy", "gzip", "zstd"):
         cells.write(made, f"{base}/{codec}", MODULUS, codec)
         stored = spark.read.parquet(f"{base}/{codec}").withColumn("file", F.input_file_name()).filter(F.col("file").contains(f".{ {'gzip': 'gz'}.get(codec, codec) }."))
-        parts.append(stored.groupBy(F.lit(codec).alias("codec")).agg(F.countDistinct("file").alias("files"), F.count("*").alias("cells")))
+        counted = stored.agg(F.countDistinct("file").alias("files"), F.count("*").alias("cells"))  # one row without cells, too
+        parts.append(counted.select(F.lit(codec).alias("codec"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
