@@ -26,11 +26,12 @@ def at_least(sizes: DataFrame, threshold: int) -> DataFrame:
     return sizes.filter(F.col("occCount") >= threshold)
 
 
-def _compact(records: DataFrame, strict: bool) -> DataFrame:
-    compact = records.select(
+def compact(records: DataFrame, strict: bool = True) -> DataFrame:
+    """The columns that name views, lat, lng and borYear; not ``strict``: without records of an unknown basis."""
+    narrow = records.select(
         *_KEY_COLUMNS, F.col("decimalLatitude").alias("lat"), F.col("decimalLongitude").alias("lng"), encode(F.col("basisOfRecord"), F.col("year"), strict).alias("borYear")
     )
-    return compact if strict else compact.filter(F.col("borYear").isNotNull())
+    return narrow if strict else narrow.filter(F.col("borYear").isNotNull())
 
 
 def _sum_places(rows: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def counts_by_location(records: DataFrame, strict: bool = True) -> DataFrame:
 
     ``strict``: an unknown basis of record fails the query; otherwise such records are left out.
     """
-    return _sum_places(fan_out(_compact(records, strict)))
+    return _sum_places(fan_out(compact(records, strict)))
 
 
 def counts_of_views(records: DataFrame, keys: DataFrame, approve: bool, strict: bool = True, compat_empty_approve: bool = False, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
@@ -51,13 +52,13 @@ def counts_of_views(records: DataFrame, keys: DataFrame, approve: bool, strict:
     Few keys are broadcast and drop rows as they are fanned out, before the sums and their shuffle. More are joined by
     shuffle after the sums.
     """
-    keys, few = _measured(keys, broadcast_keys)
+    keys, few = measured(keys, broadcast_keys)
     if few is not None:
-        return _sum_places(_split(fan_out(_compact(records, strict)), keys, few, approve, compat_empty_approve))
+        return _sum_places(_split(fan_out(compact(records, strict)), keys, few, approve, compat_empty_approve))
     return _split(counts_by_location(records, strict), keys, few, approve, compat_empty_approve)
 
 
-def _measured(keys: DataFrame, most: int) -> tuple[DataFrame, list | None]:
+def measured(keys: DataFrame, most: int) -> tuple[DataFrame, list | None]:
     """The distinct keys, and the list of them if they are ``most`` or fewer."""
     keys = keys.select("mapKey").distinct()
     found = keys.limit(most + 1).collect()
@@ -78,7 +79,7 @@ def select_views(rows: DataFrame, keys: DataFrame, approve: bool, compat_empty_a
     No keys: approve gives nothing and deny gives all; with ``compat_empty_approve`` approve gives all, too.
     Up to ``broadcast_keys`` keys are read once and broadcast; more are shuffled.
     """
-    return _split(rows, *_measured(keys, broadcast_keys), approve, compat_empty_approve)
+    return _split(rows, *measured(keys, broadcast_keys), approve, compat_empty_approve)
 
 
 # The columns of the record model that name views.

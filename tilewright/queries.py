@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import bor_year, keys, projection, tiling, wire
 from .operators import layout, points, tiles, views
-from .plans import build, lifecycle, pyramid
+from .plans import build, lifecycle, pyramid, sweep
 from .plans.config import Config, Manifest
 from .sources import cells, fixtures, occurrences
 from .sources.shared import shared_dir
@@ -186,10 +186,19 @@ def _pixels_at(spark, sf_dir):
     return _records(spark, sf_dir).select(x.alias("x"), y.alias("y")).distinct()
 
 
+def _swept(spark, sf_dir, projections, max_zoom, finish, shape):
+    """All zooms of the large views in one sweep; more views than can be broadcast are summed by shuffles."""
+    _, large = views.measured(_large(spark, sf_dir), views.BROADCAST_KEYS)
+    if large is not None:
+        return sweep.sweep(_records(spark, sf_dir), [r.mapKey for r in large], projections, max_zoom, 0, finish(projections), shape)
+    counts = _counts(spark, sf_dir, True)
+    every = reduce(DataFrame.unionByName, [pyramid.pyramid(tiles.south(counts) if epsg == 3031 else counts, epsg, max_zoom) for epsg in projections])
+    return every
+
+
 @query
 def zoom_cascade(spark, sf_dir):
-    counts = _counts(spark, sf_dir, True)
-    return pyramid.pyramid(counts, 3857, CASCADE_TOP).unionByName(pyramid.pyramid(tiles.south(counts), 3031, CASCADE_TOP))
+    return _swept(spark, sf_dir, (3857, 3031), CASCADE_TOP, sweep.pixel_rows, sweep.PIXELS)
 
 
 @query
