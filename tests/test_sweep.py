@@ -41,7 +41,7 @@ def shuffles(df):
     return plan.count("Aggregate [") + plan.count("RepartitionByExpression")
 
 
-@pytest.mark.parametrize("name, most", [("zoom_cascade", 1)])
+@pytest.mark.parametrize("name, most", [("zoom_cascade", 1), ("pyramid_totals", 2)])
 def test_records_are_shuffled_before_they_are_fanned_out(spark, name, most):
     df = queries.QUERIES[name](spark, SMALL)
     assert shuffles(df) == most and "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -202,3 +202,27 @@ def pixel_rows(projections: tuple[int, ...]):
                 yield pa.RecordBatch.from_arrays(columns, ["epsg", "z", "mapKey", "x", "y", "borYear", "occCount"])
 
     return finish
+
+
+TOTALS = "epsg int, z int, pixels bigint, records bigint, check_sum bigint"
+
+
+def totals(projections: tuple[int, ...]):
+    """Pixels, records and a check sum of what each task has of a zoom, to be summed."""
+
+    def finish(levels: Iterator[tuple[int, Level]], names: list[str]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, int], list[int]] = {}
+        for zoom, (k, x, y, _, bor, n) in levels:
+            check = (x * 31 + y * 17 + bor) * n % 1000003
+            for p in range(len(projections)) if k[0] != k[-1] or k.min() != k.max() else [int(k[0])]:
+                mine = k == p
+                if mine.any():
+                    held = found.setdefault((projections[p], zoom), [0, 0, 0])
+                    for at, more in enumerate((mine.sum(), n[mine].sum(), check[mine].sum())):
+                        held[at] += int(more)
+        rows = [(*place, *sums) for place, sums in found.items()]
+        if rows:
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["epsg", "z", "pixels", "records", "check_sum"])
+
+    return finish

@@ -193,7 +193,10 @@ def _swept(spark, sf_dir, projections, max_zoom, finish, shape):
         return sweep.sweep(_records(spark, sf_dir), [r.mapKey for r in large], projections, max_zoom, 0, finish(projections), shape)
     counts = _counts(spark, sf_dir, True)
     every = reduce(DataFrame.unionByName, [pyramid.pyramid(tiles.south(counts) if epsg == 3031 else counts, epsg, max_zoom) for epsg in projections])
-    return every
+    if shape == sweep.PIXELS:
+        return every
+    check = (F.col("x").cast("bigint") * 31 + F.col("y").cast("bigint") * 17 + F.col("borYear")) * F.col("occCount")
+    return every.groupBy("epsg", "z").agg(F.count("*").alias("pixels"), F.sum("occCount").alias("records"), F.sum(F.pmod(check, F.lit(1000003))).alias("check_sum"))
 
 
 @query
@@ -204,11 +207,8 @@ def zoom_cascade(spark, sf_dir):
 @query
 def pyramid_totals(spark, sf_dir):
     """All projections from zoom 16 down to 0, as a build makes them: pixels, records and a check sum of each zoom."""
-    counts = _counts(spark, sf_dir, True)
-    levels = [pyramid.pyramid(tiles.south(counts) if epsg == 3031 else counts, epsg, PIXEL_ZOOM) for epsg in projection.GRIDS]
-    every = reduce(DataFrame.unionByName, levels)
-    check = (F.col("x").cast("bigint") * 31 + F.col("y").cast("bigint") * 17 + F.col("borYear")) * F.col("occCount")
-    return every.groupBy("epsg", "z").agg(F.count("*").alias("pixels"), F.sum("occCount").alias("records"), F.sum(F.pmod(check, F.lit(1000003))).alias("check_sum"))
+    parts = _swept(spark, sf_dir, tuple(projection.GRIDS), PIXEL_ZOOM, sweep.totals, sweep.TOTALS)
+    return parts.groupBy("epsg", "z").agg(*[F.sum(c).alias(c) for c in ("pixels", "records", "check_sum")])
 
 
 @query
