@@ -45,3 +45,8 @@ def shuffles(df):
 def test_records_are_shuffled_before_they_are_fanned_out(spark, name, most):
     df = queries.QUERIES[name](spark, SMALL)
     assert shuffles(df) == most and "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tiles_take_one_shuffle_of_records_and_one_of_pieces(spark):
+    df = queries.QUERIES["mvt_bytes"](spark, SMALL)
+    assert shuffles(df) == 2 and "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -11,10 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_dir
-
-BATCH_BYTES = 8 << 20
-_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+from ..sources.shared import shared_dir, small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,25 +30,11 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-@contextlib.contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of at most BATCH_BYTES while plans of wide rows run, so that a task's memory is bounded."""
-    before = spark.conf.get(_BATCH_CONF, None)
-    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_BATCH_CONF)
-        else:
-            spark.conf.set(_BATCH_CONF, before)
-
-
 def materialize(df: DataFrame, stem: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{stem}-{uuid.uuid4().hex}"
-    with _small_batches(spark):
+    with small_batches(spark):
         df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.bor_year import basis_of_record, year
 from ..functions.keys import salted, tile_key
 from ..functions.projection import global_pixel, plottable
+from ..functions.tile_arrays import encode_pieces
 from ..functions.tiling import addresses
 from ..functions.wire import encode_tiles
 
@@ -59,7 +60,15 @@ def assemble(rows: DataFrame, zoom: int) -> DataFrame:
 def cells(rows: DataFrame, epsg: int, zoom: int, modulus: int, tile_size: int = 512) -> DataFrame:
     """(row_key, family, qualifier, value, z): the vector encoding of each tile of ``tile_rows`` under its salted key."""
     layer = F.coalesce(basis_of_record(F.col("borYear")), F.lit("None"))
-    encoded = encode_tiles(rows.withColumn("layer", layer), tile_size)
+    return _keyed(encode_tiles(rows.withColumn("layer", layer), tile_size), epsg, zoom, modulus)
+
+
+def piece_cells(pieces: DataFrame, epsg: int, zoom: int, modulus: int, tile_size: int = 512, buffer: int = 64) -> DataFrame:
+    """``cells`` of one projection's and zoom's pieces, which a sweep has packed."""
+    return _keyed(encode_pieces(pieces, tile_size, buffer), epsg, zoom, modulus)
+
+
+def _keyed(encoded: DataFrame, epsg: int, zoom: int, modulus: int) -> DataFrame:
     key = salted(tile_key(F.col("mapKey"), F.lit(zoom), F.col("tileX"), F.col("tileY")), modulus)
     return encoded.select(key.alias("row_key"), F.lit(f"EPSG_{epsg}").alias("family"), F.lit("tile").alias("qualifier"), "value", F.lit(zoom).alias("z"))
 

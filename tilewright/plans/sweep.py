@@ -16,8 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import tile_arrays
 from ..functions.map_keys import map_keys
-from ..functions.projection import global_pixel, plottable
+from ..functions.projection import GRIDS, global_pixel, plottable
 from ..operators import views
 
 CHUNK = 40_000
@@ -226,3 +227,69 @@ def totals(projections: tuple[int, ...]):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["epsg", "z", "pixels", "records", "check_sum"])
 
     return finish
+
+
+PIECES = "epsg int, z int, mapKey string, tileX int, tileY int, piece binary"
+PIECE_BUFFER = 1_000_000
+
+
+def tile_pieces(projections: tuple[int, ...], tile_size: int = 512, buffer: int = 64):
+    """Counts of tiles, buffers included, packed tile by tile as far as a task has them."""
+    grids = [GRIDS[epsg] for epsg in projections]
+
+    def spread(zoom: int, level: Level) -> Iterator[tuple[np.ndarray, ...]]:
+        """(projection, view, tileX, tileY, packed counts) for each pixel's own tile, then for those whose buffer holds it."""
+        for p in np.unique(level[0]).tolist():
+            mine = slice(None) if level[0].min() == level[0].max() else level[0] == p
+            x, y, view, bor, n = (c[mine] for c in level[1:])
+            (nx, ny), (tx, ty) = grids[p].tiles(zoom), (x // tile_size, y // tile_size)
+            wide, high = (g * tile_size for g in (nx, ny))
+            near = {}
+            for axis, at, count in (("x", x % tile_size, nx), ("y", y % tile_size, ny)):
+                near[axis, 0] = np.ones(len(x), bool)
+                near[axis, -1] = (at < buffer) if count > 1 else np.zeros(len(x), bool)  # alone on its axis, a tile is its own neighbour
+                near[axis, 1] = (at >= tile_size - buffer) & ~(near[axis, -1] if count == 2 else False) if count > 1 else near[axis, -1]
+            for dx in (0, -1, 1):
+                for dy in (0, -1, 1):
+                    k = np.flatnonzero(near["x", dx] & near["y", dy])
+                    if len(k):
+                        ax, ay = (tx[k] + dx) % nx, (ty[k] + dy) % ny
+                        px, py = x[k] - ax * tile_size, y[k] - ay * tile_size
+                        for at, world in ((px, wide), (py, high)):
+                            low, far = at < -buffer, at >= tile_size + buffer
+                            at[low] += world
+                            at[far] -= world
+                        yield np.full(len(k), p), view[k], ax, ay, tile_arrays.pack(px, py, bor[k], n[k], buffer)
+
+    def pieces(zoom: int, held: list[tuple[np.ndarray, ...]], known: pa.Array) -> Iterator[pa.RecordBatch]:
+        p, view, tx, ty, counts = (np.concatenate(c) for c in zip(*held, strict=True))
+        tile = ((p << 20 | view) << zoom + 1 | tx) << zoom + 1 | ty
+        order = np.argsort(tile, kind="stable")
+        p, view, tx, ty, counts, tile = (c[order] for c in (p, view, tx, ty, counts, tile))
+        new = np.append(True, tile[1:] != tile[:-1])
+        begin = np.flatnonzero(new)
+        rank = np.arange(len(tile)) - np.repeat(begin, np.diff(np.append(begin, len(tile))))
+        begin = np.flatnonzero(rank % tile_arrays.PIECE_ROWS == 0)
+        for first in range(0, len(begin), 4096):
+            k = begin[first : first + 4096]
+            end = begin[first + 4096] if first + 4096 < len(begin) else len(tile)
+            offsets = ((np.append(k, end) - k[0]) * tile_arrays.COUNT.itemsize).astype(np.int32)
+            piece = pa.Array.from_buffers(pa.binary(), len(k), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(counts[k[0] : end].tobytes())])
+            epsg = np.array(projections, np.int32)[p[k]]
+            columns = [pa.array(epsg), pa.array(np.full(len(k), zoom, np.int32)), known.take(pa.array(view[k])), *[pa.array(c[k].astype(np.int32)) for c in (tx, ty)], piece]
+            yield pa.RecordBatch.from_arrays(columns, ["epsg", "z", "mapKey", "tileX", "tileY", "piece"])
+
+    def finish(levels: Iterator[tuple[int, Level]], names: list[str]) -> Iterator[pa.RecordBatch]:
+        known, held, size = pa.array(names, pa.string()), {}, 0
+        for zoom, level in levels:
+            for part in spread(zoom, level):
+                held.setdefault(zoom, []).append(part)
+                size += len(part[0])
+            if size > PIECE_BUFFER:
+                for z, parts in held.items():
+                    yield from pieces(z, parts, known)
+                held, size = {}, 0
+        for z, parts in held.items():
+            yield from pieces(z, parts, known)
+
+    return finish

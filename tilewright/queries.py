@@ -6,11 +6,12 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import bor_year, keys, projection, tiling, wire
+from .functions import bor_year, keys, projection, tile_arrays, tiling, wire
 from .operators import layout, points, tiles, views
 from .plans import build, lifecycle, pyramid, sweep
 from .plans.config import Config, Manifest
@@ -248,6 +249,10 @@ def table_retention(spark, sf_dir):
 
 @query
 def mvt_bytes(spark, sf_dir):
+    _, large = views.measured(_large(spark, sf_dir), views.BROADCAST_KEYS)
+    if large is not None:
+        pieces = sweep.sweep(_records(spark, sf_dir), [r.mapKey for r in large], (4326,), TILE_ZOOM, TILE_ZOOM, sweep.tile_pieces((4326,)), sweep.PIECES)
+        return tiles.piece_cells(pieces, 4326, TILE_ZOOM, MODULUS)
     rows = tiles.tile_rows(tiles.pixel_counts(_counts(spark, sf_dir, True), 4326, TILE_ZOOM), 4326, TILE_ZOOM)
     return tiles.cells(rows, 4326, TILE_ZOOM, MODULUS)
 
@@ -267,11 +272,13 @@ def _tile_rows_of(stored: DataFrame) -> DataFrame:
 
     def decode(batches):
         for batch in batches:
-            for at in range(batch.num_rows):
-                rows = wire.read_vector_tile(batch.column(3)[at].as_py())
-                own = [pa.repeat(c[at], len(rows)) for c in batch.columns[:3]]
-                kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]], ["mapKey", "tileX", "tileY", "layer", "pixelX", "pixelY", "year", "occCount"])
+            for some in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
+                for at, layers, layer, x, y, years, year, n in tile_arrays.read(some.column(3).to_pylist()):
+                    own = [c.take(pa.array(at)) for c in some.columns[:3]]
+                    said = [pa.array(names, pa.string()).take(pa.array(k)) for names, k in ((layers, layer), (years, year))]
+                    columns = [*own, said[0], pa.array(x.astype(np.int32)), pa.array(y.astype(np.int32)), said[1], pa.array(n)]
+                    rows = pa.RecordBatch.from_arrays(columns, ["mapKey", "tileX", "tileY", "layer", "pixelX", "pixelY", "year", "occCount"])
+                    yield from (rows.slice(k, 50_000) for k in range(0, rows.num_rows, 50_000))
 
     return named.mapInArrow(decode, _TILE_SHAPE)
 

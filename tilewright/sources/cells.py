@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.layout import by_salt
+from .shared import small_batches
 
 
 def path_of(target: str, table: str, mode: str, family: str | None = None, zoom: int | None = None) -> str:
@@ -19,7 +20,8 @@ def path_of(target: str, table: str, mode: str, family: str | None = None, zoom:
 
 def write(cells: DataFrame, path: str, modulus: int, compression: str = "snappy") -> None:
     """One file for each salt, sorted by row key."""
-    by_salt(cells, modulus).write.mode("overwrite").option("compression", compression).parquet(path)
+    with small_batches(cells.sparkSession):
+        by_salt(cells, modulus).write.mode("overwrite").option("compression", compression).parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _LOCAL: list[str] = []
 
 
@@ -19,3 +23,17 @@ def shared_dir(spark: SparkSession) -> str:
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="tilewright-"))
     return f"file://{_LOCAL[0]}"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most BATCH_BYTES while plans of wide rows run, so that a task's memory is bounded."""
+    before = spark.conf.get(_BATCH_CONF, None)
+    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_CONF)
+        else:
+            spark.conf.set(_BATCH_CONF, before)
