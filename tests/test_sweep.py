@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tilewright import queries
 from tilewright.operators import tiles, views
-from tilewright.plans import sweep
-from tilewright.sources import fixtures, occurrences
+from tilewright.plans import build, sweep
+from tilewright.plans.config import Config, Manifest
+from tilewright.sources import cells, fixtures, occurrences
 
 GRIDS = (3857, 4326, 3575, 3031)
 
@@ -47,6 +48,23 @@ def test_records_are_shuffled_before_they_are_fanned_out(spark, name, most):
     assert shuffles(df) == most and "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("most", [views.BROADCAST_KEYS, 0])
+def test_builds_are_the_same_whether_swept_or_shuffled(spark, records, tmp_path, monkeypatch, most):
+    """Each tile's bytes are those of the direct projection, buffers included, also where a tile has many pieces."""
+    monkeypatch.setattr(views, "BROADCAST_KEYS", most)
+    monkeypatch.setattr(sweep, "PIECE_BUFFER", 500)
+    config = Config(source="", target=f"file://{tmp_path}/maps", threshold=300, salt_modulus=4, max_zoom=1, partitions=3, projections=(4326, 3575, 3031))
+    build.run(spark, Manifest("tiles", "20200101_0000", config), records)
+    large = sorted(r.mapKey for r in views.at_least(views.view_sizes(records), 300).collect())
+    counts = views.counts_by_location(records).filter(F.col("mapKey").isin(*large)).cache()
+    for epsg in config.projections:
+        for zoom in (0, 1):
+            shown = tiles.south(counts) if epsg == 3031 else counts
+            want = tiles.cells(tiles.tile_rows(tiles.pixel_counts(shown, epsg, zoom), epsg, zoom), epsg, zoom, 4).select("row_key", "value")
+            got = cells.read(spark, cells.path_of(config.target, "maps_tiles_20200101_0000", "tiles", f"EPSG_{epsg}", zoom)).select("row_key", "value")
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_tiles_take_one_shuffle_of_records_and_one_of_pieces(spark):
     df = queries.QUERIES["mvt_bytes"](spark, SMALL)
     assert shuffles(df) == 2 and "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()

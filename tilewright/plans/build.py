@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import points, tiles, views
 from ..sources import cells, occurrences
-from . import lifecycle, pyramid
+from ..sources.shared import small_batches
+from . import lifecycle, pyramid, sweep
 from .config import Config, Manifest
 
 
@@ -35,10 +36,39 @@ def build_tiles(counts: DataFrame, epsg: int, config: Config, settle=None):
         yield zoom, tiles.cells(rows, epsg, zoom, config.salt_modulus, config.tile_size)
 
 
+def _tile_cells(records: DataFrame, large: DataFrame, config: Config, work: str):
+    """(epsg, zoom, cells) of all projections: from one sweep, its pieces stored, or by shuffled counts if there are too many views."""
+    spark = records.sparkSession
+    _, few = views.measured(large, views.BROADCAST_KEYS)
+    if few or (few is not None and not config.compat_empty_approve):
+        finish = sweep.tile_pieces(config.projections, config.tile_size, config.buffer_size)
+        pieces = sweep.sweep(records, [r.mapKey for r in few], config.projections, config.max_zoom, 0, finish, sweep.PIECES, config.tile_size, config.strict)
+        with small_batches(spark):
+            pieces.write.mode("overwrite").partitionBy("epsg", "z").parquet(f"{work}/pieces")
+        stored = spark.read.schema(sweep.PIECES).parquet(f"{work}/pieces")
+        for epsg in config.projections:
+            for zoom in range(config.max_zoom, -1, -1):
+                mine = stored.filter((F.col("epsg") == epsg) & (F.col("z") == zoom))
+                yield epsg, zoom, tiles.piece_cells(mine, epsg, zoom, config.salt_modulus, config.tile_size, config.buffer_size)
+        return
+    tile_input(records, large, config).write.mode("overwrite").parquet(f"{work}/tiles")
+    counts = spark.read.parquet(f"{work}/tiles")
+    for epsg in config.projections:
+        done = iter(range(100))
+
+        def settle(level: DataFrame, epsg=epsg, done=done) -> DataFrame:
+            path = f"{work}/levels/{epsg}/{next(done)}"
+            level.write.mode("overwrite").partitionBy("z").parquet(path)
+            return spark.read.schema(level.schema).parquet(path)
+
+        for zoom, out in build_tiles(counts, epsg, config, settle):
+            yield epsg, zoom, out
+
+
 def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None) -> lifecycle.Store:
     """A whole run: create the version, build it, make it live and retire old ones.
 
-    The stored input and the tile input are written below the version's work folder, which is removed at the end.
+    The stored input and the tiles' pieces are written below the version's work folder, which is removed at the end.
     """
     config = manifest.config
     store = lifecycle.Store(spark, config.target)
@@ -61,19 +91,9 @@ def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None
             spark.sparkContext.setJobDescription("points")
             cells.write(build_points(records, large, config), cells.path_of(config.target, manifest.table, "points"), config.salt_modulus)
         else:
-            tile_input(records, large, config).write.mode("overwrite").parquet(f"{work}/tiles")
-            counts = spark.read.parquet(f"{work}/tiles")
-            for epsg in config.projections:
-                done = iter(range(100))
-
-                def settle(level: DataFrame, epsg=epsg, done=done) -> DataFrame:
-                    path = f"{work}/levels/{epsg}/{next(done)}"
-                    level.write.mode("overwrite").partitionBy("z").parquet(path)
-                    return spark.read.schema(level.schema).parquet(path)
-
-                for zoom, out in build_tiles(counts, epsg, config, settle):
-                    spark.sparkContext.setJobDescription(f"EPSG:{epsg} zoom {zoom}")
-                    cells.write(out.drop("z"), cells.path_of(config.target, manifest.table, "tiles", f"EPSG_{epsg}", zoom), config.salt_modulus)
+            for epsg, zoom, out in _tile_cells(records, large, config, work):
+                spark.sparkContext.setJobDescription(f"EPSG:{epsg} zoom {zoom}")
+                cells.write(out.drop("z"), cells.path_of(config.target, manifest.table, "tiles", f"EPSG_{epsg}", zoom), config.salt_modulus)
         spark.sparkContext.setJobDescription(None)
     finally:
         store.delete(work)
