@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 
 from tests.llm import brute, cases
 from tilewright.llm import jaccard_join as J
-from tilewright.llm._util import whole_groups
+from tilewright.llm._util import materialize
+from tilewright.llm._util import materialize, whole_groups
 from tilewright.llm._words import mix
 from tilewright.llm.components import components
 from tilewright.llm.signature_tree import Block, dual_traversal
@@ -158,3 +159,19 @@ def test_low_thresholds_lose_no_link(spark):
     assert got == {i: i - i % 2 for i, _ in rows}
     with pytest.raises(ValueError, match="threshold"):
         J.classes(df, num=0)
+
+
+def test_sets_are_dealt_out_to_their_places_without_a_shuffle_of_their_own(spark, monkeypatch):
+    """Sets of many places, more than the rows that are broadcast, are joined by broadcast and shuffled once."""
+    sets = spark.createDataFrame([(k, shingle_bytes(range(k, k + 40))) for k in range(6)], "sid bigint, shingles binary")
+    rows = [(g, -1, 0, False, k, k, k) for g in range(50) for k in range(6)]
+    placed = materialize(spark.createDataFrame(rows, "grp bigint, i int, j int, visitor boolean, sid bigint, label bigint, apart bigint"), "placed")
+    monkeypatch.setattr(J, "BROADCAST_ROWS", 100)
+    links = J._links(placed, materialize(sets, "sets"), 75, 100, True)
+    assert {tuple(r) for r in links.distinct().collect()} == {(a, b) for a in range(6) for b in range(a + 1, 6) if (40 - (b - a)) * 100 >= 75 * (40 + b - a)}
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "strategy=broadcast" in plan and plan.count("RepartitionByExpression") == 1
+
+
+def shingle_bytes(values):
+    return np.array(sorted(values), np.uint64).tobytes()

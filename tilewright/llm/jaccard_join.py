@@ -38,6 +38,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import lean
 from ._marks import MARK_BITS, bitmap, marked
 from ._util import drop_table, fresh, materialize, whole_groups
 from ._words import SPACED, buffers, chunks, grams, mix, word_hashes
@@ -49,6 +50,7 @@ NUM, DEN = 75, 100
 REACH = (2, 5)
 SAMPLE, SAMPLE_HITS = 16, 4
 BROADCAST_ROWS = 100_000
+BROADCAST_PLACES = 4 * BROADCAST_ROWS  # places of those rows' sets, 50 bytes each
 MOST_MARKS = 1 << MARK_BITS - 3
 BLOCK, WEIGHT = 4096, 1 << 21
 
@@ -102,7 +104,7 @@ def _frequent(source: DataFrame, num: int, den: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["token"])
 
     sample = source.filter(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text")
-    found = sample.mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("hits")).filter(F.col("hits") >= SAMPLE_HITS)
+    found = sample.mapInArrow(lean(run), "token bigint").groupBy("token").agg(F.count("*").alias("hits")).filter(F.col("hits") >= SAMPLE_HITS)
     found = materialize(found, "frequent-shingles")
     sizes = found.groupBy(F.floor(F.log2("hits")).alias("power")).agg(F.count("*").alias("n")).collect()  # 64 rows at most
     least, held = SAMPLE_HITS, sum(r.n for r in sizes)
@@ -270,7 +272,7 @@ def _likely(rows: DataFrame, at: int, wanted: DataFrame, column: str, shape: str
         for batch in batches:
             yield batch.filter(pa.array(marked(marks.value, batch.column(at).to_numpy().view(np.uint64))))
 
-    return rows.mapInArrow(run, shape)
+    return rows.mapInArrow(lean(run), shape)
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -331,10 +333,17 @@ _PLACED = ["grp", "i", "j", "visitor", "sid", "label", "apart"]
 
 
 def _links(placed: DataFrame, sets: DataFrame, num: int, den: int, every: bool) -> DataFrame:
-    """Links (a, b) of the sets that ``placed`` (stored) sends to the same task."""
-    rows = _likely(sets, 0, placed, "sid", "sid bigint, shingles binary").join(_small(placed), "sid").select(*_PLACED, "shingles")
+    """Links (a, b) of the sets that ``placed`` (stored) sends to the same task.
+
+    A set is joined with the list of its places, so that it is copied only as it is dealt out, and never shuffled twice for each.
+    """
+    places = placed.groupBy("sid").agg(F.collect_list(F.struct(*[c for c in _PLACED if c != "sid"])).alias("places"))
+    if placed.limit(BROADCAST_PLACES + 1).count() <= BROADCAST_PLACES:
+        places = _small(materialize(places, "places"))
+    rows = _likely(sets, 0, placed, "sid", "sid bigint, shingles binary").join(places, "sid").select("sid", "shingles", F.explode("places").alias("at"))
+    rows = rows.select(*[F.col("sid") if c == "sid" else F.col(f"at.{c}") for c in _PLACED], "shingles")
     dealt = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "visitor")
-    return dealt.mapInArrow(_compare(num, den, every), "a bigint, b bigint")
+    return dealt.mapInArrow(lean(_compare(num, den, every)), "a bigint, b bigint")
 
 
 def _blocks(sets, weight, block: int):
@@ -401,11 +410,12 @@ def _across(company: DataFrame, home: DataFrame, roots: DataFrame, sets: DataFra
     shape = "sid bigint, token bigint, first boolean, n bigint, fam bigint, label bigint"
     core = _likely(rows.select("sid", "token", "first", "n", "fam", "label"), 1, mixed, "token", shape).join(_small(mixed), "token", "left_semi")
     core = core.select("sid", "token", "first", "n", "fam", "label").repartition("sid").sortWithinPartitions("sid")
-    core = materialize(core.mapInArrow(_strong(num, den), shape), "mixed-shingles")
+    core = materialize(core.mapInArrow(lean(_strong(num, den)), shape), "mixed-shingles")
     drop_table(mixed)
     several = (F.min("fam") != F.max("fam")) & (F.min("label") != F.max("label"))
+    fit = (F.count("*") > 2) | (F.min("n") * den >= F.max("n") * num)  # two sets alone link only if their sizes allow it
     same = [F.bit_xor(F.xxhash64("sid", F.lit(k))).alias(f"same{k}") for k in (0, 1)]
-    groups = core.groupBy("token").agg(several.alias("mixed"), F.count("*").alias("m"), F.sum("n").alias("w"), *same).filter("mixed")
+    groups = core.groupBy("token").agg((several & fit).alias("mixed"), F.count("*").alias("m"), F.sum("n").alias("w"), *same).filter("mixed")
     groups = groups.groupBy("same0", "same1", "m").agg(F.min("token").alias("token"), F.first("w").alias("w"))
     groups = groups.select("token", _blocks(F.col("m"), F.col("w"), block).alias("blocks"))
     rows = core.join(groups, "token").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
@@ -425,10 +435,10 @@ def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[Da
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).cast("bigint").alias("did"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
     hot = spark.sparkContext.broadcast(bitmap(_frequent(source, num, den), "token"))
-    dealt = source.mapInArrow(_deal(hot, num, den), _ROWS)
-    met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(_meet, _SHARED), "dealt-shingles")
+    dealt = source.mapInArrow(lean(_deal(hot, num, den)), _ROWS)
+    met = materialize(dealt.repartition("token").sortWithinPartitions("member", "token", "sid").mapInArrow(lean(_meet), _SHARED), "dealt-shingles")
     members, shared = met.filter("member").select("did", "text_hash", "sid", "n"), met.filter("not member").select("sid", "lead", "token", "n", "first", "lead_n")
-    company = materialize(shared.repartition("sid").sortWithinPartitions("sid", "lead").mapInArrow(_accompany(num, den), _COMPANY), "sets-in-company")
+    company = materialize(shared.repartition("sid").sortWithinPartitions("sid", "lead").mapInArrow(lean(_accompany(num, den)), _COMPANY), "sets-in-company")
     members = materialize(members, "set-members")
     drop_table(met)
     # one document of each set
@@ -437,7 +447,7 @@ def _dealt(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[Da
     chosen = materialize(chosen, "chosen-documents")
     texts = _likely(source.select(row_mark.alias("mark"), "text"), 0, chosen, "mark", "mark bigint, text string")
     texts = texts.join(_small(chosen), "mark", "left_semi").select("mark", "text")
-    sets = materialize(texts.mapInArrow(_as_sets, "sid bigint, shingles binary"), "shingle-sets")
+    sets = materialize(texts.mapInArrow(lean(_as_sets), "sid bigint, shingles binary"), "shingle-sets")
     drop_table(chosen)
     hot.unpersist()
     return members, company, sets

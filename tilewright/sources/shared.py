@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 BATCH_BYTES = 8 << 20
@@ -37,3 +39,19 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(_BATCH_CONF)
         else:
             spark.conf.set(_BATCH_CONF, before)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` of a task, which gives freed memory back to the system at its end: the worker lives on, and later stages need it."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL(None).malloc_trim(0)
