@@ -165,3 +165,23 @@ def test_glued_wrapped_and_damaged_regions():
         assert not [x for x in spans_of(left) if x[0] == "assign"], part
     text = "cfg_" + b64("\u00e9".encode("latin-1") + SECRET.encode())  # byte 1 lies in characters 1 and 2 of the base64
     assert [(s, e) for k, s, e in spans_of(text) if k == "assign"] == [(5, len(text))]
+
+
+def test_texts_are_held_some_at_a_time_and_memory_is_given_back(monkeypatch):
+    import pyarrow as pa
+
+    from tilewright.sources import shared
+
+    class Frame:
+        schema = None
+
+        def mapInArrow(self, run, shape):  # noqa: N802
+            return run
+
+    given = []
+    monkeypatch.setattr(shared, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["password=abcdef1"] * 1000)], ["id", "text"])
+    out = list(S.redact_documents(Frame())(iter([batch])))
+    assert max(b.num_rows for b in out) == S.ROWS < 1000 and given == [1]
+    whole = pa.Table.from_batches(out)
+    assert whole["id"].to_pylist() == list(range(1000)) and set(whole["text"].to_pylist()) == {"[SECRET]"}

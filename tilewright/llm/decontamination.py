@@ -20,6 +20,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import lean
 from ._util import drop_table, fresh, materialize
 from ._words import ALNUM, buffers, chunks, word_places
 
@@ -138,7 +139,7 @@ def _search_part(docs: DataFrame, key: list[str], text: str, names: list[str], s
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(key)], *[pa.array(c, k) for c, k in zip((count, starts, ends, items), kinds, strict=True)]], [*key, *names])
 
     body = fresh(docs.select(*[F.col(f"`{k}`") for k in key]), "_text")
-    return docs.select(*[F.col(f"`{k}`") for k in key], F.col(f"`{text}`").alias(body)).mapInArrow(run, shape)
+    return docs.select(*[F.col(f"`{k}`") for k in key], F.col(f"`{text}`").alias(body)).mapInArrow(lean(run), shape)
 
 
 def _parts(benchmark: DataFrame, item: str, text: str, part_words: int) -> Iterator[list[tuple[str, str | None]]]:
@@ -233,7 +234,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                 keep = [not _find(words, searchers.value)[0] for words in texts_of(batch.column(batch.schema.get_field_index(text)))]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        before, out = out, out.mapInArrow(flags, docs.schema)
+        before, out = out, out.mapInArrow(lean(flags), docs.schema)
         if following is not None:
             out = materialize(out, "clean-so-far")
             searchers.destroy()

@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import lean
 from ._util import fresh
 
 KINDS = ("assign", "access", "hex")
 PIECE, FEED = 4 << 20, 1 << 16
+ROWS = 256  # texts held as Python strings at a time, beside their batch
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -331,7 +333,7 @@ def scan_documents(docs: DataFrame, key: list[str], text: str = "text") -> DataF
 
     kinds = ("bigint", "bigint", "bigint", "string", "string", "bigint")
     out = ", ".join([shape, *[f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)]])
-    return docs.select(*[F.col(f"`{k}`") for k in key], F.col(f"`{text}`").alias(body)).mapInArrow(run, out)
+    return docs.select(*[F.col(f"`{k}`") for k in key], F.col(f"`{text}`").alias(body)).mapInArrow(lean(run), out)
 
 
 def redact_documents(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -341,10 +343,10 @@ def redact_documents(docs: DataFrame, text: str = "text", mark: str = "[SECRET]"
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             at = batch.schema.get_field_index(text)
             column = batch.column(at)
             clean = [t if t is None or not (spans := scan(t)[1]) else redact(t, spans, mark) for t in column.to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(clean, column.type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
