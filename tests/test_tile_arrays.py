@@ -56,3 +56,10 @@ def test_a_large_tile_is_made_and_read_in_a_few_seconds():
     [data] = tile_arrays.encode(k * 0, tile_arrays.pack(k % 640 - 64, k // 640 - 64, k * 0 + 200003, k, 64), 1, 512, 64)
     [found] = tile_arrays.read([data])
     assert time.time() - began < 3 and (found[-1] == k[np.lexsort((k // 640, k % 640))]).all()
+
+
+def test_a_large_layer_is_read_in_parts(monkeypatch):
+    k = np.arange(5000)
+    [data] = tile_arrays.encode(k * 0, tile_arrays.pack(k % 640 - 64, k // 640 - 64, k * 0 + 200003, k, 64), 1, 512, 64)
+    monkeypatch.setattr(tile_arrays, "BATCH_ROWS", 300)
+    assert max(len(found[-1]) for found in tile_arrays.read([data])) <= 600 and told([data]) == [(0, *r) for r in wire.read_vector_tile(data)]

@@ -219,12 +219,15 @@ def read(tiles: list[bytes]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray
                     yield numbers[0], list(names), *numbers[1:4], list(years), *numbers[4:]
                 continue
             name, bodies, end, keys, values = found
-            if bodies:
-                held.append((tile, names.setdefault(name, len(names)), layer, bodies, end, [years.setdefault(k, len(years)) for k in keys], values))
-                points += len(bodies)
-            if points > BATCH_ROWS:
-                yield from _columns(held, names, years)
-                held, points = [], 0
+            said = [years.setdefault(k, len(years)) for k in keys]
+            for first in range(0, len(bodies), 2 * BATCH_ROWS):  # a large layer in parts
+                after = first + 2 * BATCH_ROWS
+                some, start, until = bodies[first:after], bodies[first] if first else 0, bodies[after] if after < len(bodies) else end
+                held.append((tile, names.setdefault(name, len(names)), layer[start:until], [b - start for b in some] if start else some, until - start, said, values))
+                points += len(some)
+                if points > BATCH_ROWS:
+                    yield from _columns(held, names, years)
+                    held, points = [], 0
     if held:
         yield from _columns(held, names, years)
 

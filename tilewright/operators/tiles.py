@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bor_year import basis_of_record, year
 from ..functions.keys import salted, tile_key
 from ..functions.projection import global_pixel, plottable
 from ..functions.tile_arrays import encode_pieces
+from ..functions.tile_packs import encode_packs
 from ..functions.tiling import addresses
 from ..functions.wire import encode_tiles
+from .layout import by_salt
 
 
 def place_pixels(counts: DataFrame, epsg: int, zoom: int, tile_size: int = 512) -> DataFrame:
@@ -68,8 +70,21 @@ def piece_cells(pieces: DataFrame, epsg: int, zoom: int, modulus: int, tile_size
     return _keyed(encode_pieces(pieces, tile_size, buffer), epsg, zoom, modulus)
 
 
+def pack_cells(packs: DataFrame, epsg: int, zoom: int, modulus: int, tile_size: int = 512, buffer: int = 64) -> DataFrame:
+    """``cells`` of packed counts, laid out by salt: the counts are shuffled to where their tile is written, and tiles are not shuffled."""
+    laid = by_salt(packs.select(_key(zoom, modulus).alias("row_key"), "piece"), modulus)
+    return _celled(encode_packs(laid, tile_size, buffer), F.col("row_key"), epsg, zoom)
+
+
 def _keyed(encoded: DataFrame, epsg: int, zoom: int, modulus: int) -> DataFrame:
-    key = salted(tile_key(F.col("mapKey"), F.lit(zoom), F.col("tileX"), F.col("tileY")), modulus)
+    return _celled(encoded, _key(zoom, modulus), epsg, zoom)
+
+
+def _key(zoom: int, modulus: int) -> Column:
+    return salted(tile_key(F.col("mapKey"), F.lit(zoom), F.col("tileX"), F.col("tileY")), modulus)
+
+
+def _celled(encoded: DataFrame, key: Column, epsg: int, zoom: int) -> DataFrame:
     return encoded.select(key.alias("row_key"), F.lit(f"EPSG_{epsg}").alias("family"), F.lit("tile").alias("qualifier"), "value", F.lit(zoom).alias("z"))
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import tile_packs
 from ..operators import points, tiles, views
 from ..sources import cells, occurrences
-from ..sources.shared import small_batches
+from ..sources.shared import short_lived_shuffles, small_batches
 from . import lifecycle, pyramid, sweep
 from .config import Config, Manifest
 
@@ -36,39 +37,47 @@ def build_tiles(counts: DataFrame, epsg: int, config: Config, settle=None):
         yield zoom, tiles.cells(rows, epsg, zoom, config.salt_modulus, config.tile_size)
 
 
-def _tile_cells(records: DataFrame, large: DataFrame, config: Config, work: str):
-    """(epsg, zoom, cells) of all projections: from one sweep, its pieces stored, or by shuffled counts if there are too many views."""
+def _tile_cells(records: DataFrame, large: DataFrame, config: Config, work: str, done):
+    """(epsg, zoom, cells, whether they are laid out by salt) of all projections; ``done`` is called once ``records`` are not read any more.
+
+    Records are stored once more with their pixels and the numbers of their views. From there one zoom at a time is packed, shuffled and
+    encoded, so that no counts wait on disk. If there are too many views, counts are shuffled.
+    """
     spark = records.sparkSession
     _, few = views.measured(large, views.BROADCAST_KEYS)
-    if few or (few is not None and not config.compat_empty_approve):
-        finish = sweep.tile_pieces(config.projections, config.tile_size, config.buffer_size)
-        pieces = sweep.sweep(records, [r.mapKey for r in few], config.projections, config.max_zoom, 0, finish, sweep.PIECES, config.tile_size, config.strict)
+    narrow = tile_packs.bits_of(config.tile_size + 2 * config.buffer_size) <= tile_packs.MOST_BITS
+    if narrow and (few or (few is not None and not config.compat_empty_approve)):
+        names = [r.mapKey for r in few]
+        places = sweep.numbered(records, names, config.projections, config.max_zoom, config.tile_size, config.strict)
         with small_batches(spark):
-            pieces.write.mode("overwrite").partitionBy("epsg", "z").parquet(f"{work}/pieces")
-        stored = spark.read.schema(sweep.PIECES).parquet(f"{work}/pieces")
-        for epsg in config.projections:
+            places.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", occurrences.ROW_GROUP_BYTES).parquet(f"{work}/places")
+        done()
+        stored = spark.read.schema(places.schema).parquet(f"{work}/places")
+        for k, epsg in enumerate(config.projections):
+            mine = stored.select("borYear", "views", F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y"))
             for zoom in range(config.max_zoom, -1, -1):
-                mine = stored.filter((F.col("epsg") == epsg) & (F.col("z") == zoom))
-                yield epsg, zoom, tiles.piece_cells(mine, epsg, zoom, config.salt_modulus, config.tile_size, config.buffer_size)
+                packs = sweep.packs(mine, names, epsg, zoom, config.max_zoom, config.tile_size, config.buffer_size)
+                yield epsg, zoom, tiles.pack_cells(packs, epsg, zoom, config.salt_modulus, config.tile_size, config.buffer_size), True
         return
     tile_input(records, large, config).write.mode("overwrite").parquet(f"{work}/tiles")
+    done()
     counts = spark.read.parquet(f"{work}/tiles")
     for epsg in config.projections:
-        done = iter(range(100))
+        blocks = iter(range(100))
 
-        def settle(level: DataFrame, epsg=epsg, done=done) -> DataFrame:
-            path = f"{work}/levels/{epsg}/{next(done)}"
+        def settle(level: DataFrame, epsg=epsg, blocks=blocks) -> DataFrame:
+            path = f"{work}/levels/{epsg}/{next(blocks)}"
             level.write.mode("overwrite").partitionBy("z").parquet(path)
             return spark.read.schema(level.schema).parquet(path)
 
         for zoom, out in build_tiles(counts, epsg, config, settle):
-            yield epsg, zoom, out
+            yield epsg, zoom, out, False
 
 
 def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None) -> lifecycle.Store:
     """A whole run: create the version, build it, make it live and retire old ones.
 
-    The stored input and the tiles' pieces are written below the version's work folder, which is removed at the end.
+    The stored input is written below the version's work folder, which is removed at the end.
     """
     config = manifest.config
     store = lifecycle.Store(spark, config.target)
@@ -77,24 +86,8 @@ def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None
     lifecycle.create(store, manifest)
     work = f"{store.target}/{manifest.table}/_work"
     try:
-        if source is None:
-            with lifecycle.pinned(store, config.source) as files:  # until they are copied: what the build reads stays as it is
-                base = {} if lifecycle.is_glob(config.source) else {"basePath": config.source}
-                source = occurrences.read(spark, files, config.source_format, **base)
-                records = occurrences.store(occurrences.map_input(source), f"{work}/input", config.partitions)
-        else:
-            records = occurrences.store(occurrences.map_input(source), f"{work}/input", config.partitions)
-        large = large_views(records, config)
-        large.write.mode("overwrite").parquet(f"{work}/large")
-        large = spark.read.parquet(f"{work}/large")
-        if manifest.mode == "points":
-            spark.sparkContext.setJobDescription("points")
-            cells.write(build_points(records, large, config), cells.path_of(config.target, manifest.table, "points"), config.salt_modulus)
-        else:
-            for epsg, zoom, out in _tile_cells(records, large, config, work):
-                spark.sparkContext.setJobDescription(f"EPSG:{epsg} zoom {zoom}")
-                cells.write(out.drop("z"), cells.path_of(config.target, manifest.table, "tiles", f"EPSG_{epsg}", zoom), config.salt_modulus)
-        spark.sparkContext.setJobDescription(None)
+        with short_lived_shuffles(spark):
+            _build(spark, manifest, source, store, work)
     finally:
         store.delete(work)
     lifecycle.publish(store, manifest)
@@ -102,6 +95,28 @@ def run(spark: SparkSession, manifest: Manifest, source: DataFrame | None = None
     return store
 
 
+def _build(spark: SparkSession, manifest: Manifest, source: DataFrame | None, store: lifecycle.Store, work: str) -> None:
+    config = manifest.config
+    if source is None:
+        with lifecycle.pinned(store, config.source) as files:  # until they are copied: what the build reads stays as it is
+            base = {} if lifecycle.is_glob(config.source) else {"basePath": config.source}
+            source = occurrences.read(spark, files, config.source_format, **base)
+            records = occurrences.store(occurrences.map_input(source), f"{work}/input", config.partitions)
+    else:
+        records = occurrences.store(occurrences.map_input(source), f"{work}/input", config.partitions)
+    large = large_views(records, config)
+    large.write.mode("overwrite").parquet(f"{work}/large")
+    large = spark.read.parquet(f"{work}/large")
+    if manifest.mode == "points":
+        spark.sparkContext.setJobDescription("points")
+        cells.write(build_points(records, large, config), cells.path_of(config.target, manifest.table, "points"), config.salt_modulus)
+    else:
+        for epsg, zoom, out, laid in _tile_cells(records, large, config, work, lambda: store.delete(f"{work}/input")):
+            spark.sparkContext.setJobDescription(f"EPSG:{epsg} zoom {zoom}")
+            cells.write(out.drop("z"), cells.path_of(config.target, manifest.table, "tiles", f"EPSG_{epsg}", zoom), config.salt_modulus, "zstd", laid)
+    spark.sparkContext.setJobDescription(None)
+
+
 def main(args: list[str]) -> None:
     spark = SparkSession.builder.appName("tilewright").getOrCreate()
     run(spark, Manifest.from_args(args))

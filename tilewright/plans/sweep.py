@@ -16,10 +16,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import tile_arrays
+from ..functions import tile_arrays, tile_packs
 from ..functions.map_keys import map_keys
 from ..functions.projection import GRIDS, global_pixel, plottable
 from ..operators import views
+from ..sources.shared import lean
 
 CHUNK = 40_000
 _BITS = 56
@@ -55,6 +56,15 @@ def unmorton(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _gather(code), _gather(code >> np.uint64(1))
 
 
+def _numbers(keys: pa.ListArray, known: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
+    """How many of each record's keys are among ``known``, and their numbers there."""
+    number = pc.index_in(keys.flatten(), value_set=known)
+    kept = number.is_valid().to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(keys)), pc.list_value_length(keys).to_numpy(zero_copy_only=False))[kept]
+    sizes = np.bincount(owner, minlength=len(keys))
+    return sizes, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), number.drop_null().cast(pa.int32()))
+
+
 def _deal(names, projections: int, down: int):
     """(route, code, borYear, views) of each record in each projection that shows it; views are numbers in ``names``."""
 
@@ -64,12 +74,7 @@ def _deal(names, projections: int, down: int):
             n = batch.num_rows
             if not n:
                 continue
-            keys = batch.column(1)
-            number = pc.index_in(keys.flatten(), value_set=known)
-            kept = number.is_valid().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(n), pc.list_value_length(keys).to_numpy(zero_copy_only=False))[kept]
-            sizes = np.bincount(owner, minlength=n)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), number.drop_null().cast(pa.int32()))
+            sizes, lists = _numbers(batch.column(1), known)
             for k in range(projections):
                 x, y = batch.column(2 + 2 * k), batch.column(3 + 2 * k)
                 shown = x.is_valid().to_numpy(zero_copy_only=False) & (sizes > 0)
@@ -164,22 +169,26 @@ def zooms_of(batches: Iterator[pa.RecordBatch], n_views: int, max_zoom: int, min
         yield from zooms.add(none, none, none, none, None)
 
 
+def _placed(records: DataFrame, projections: tuple[int, ...], max_zoom: int, tile_size: int, strict: bool) -> DataFrame:
+    """(borYear, keys, x0, y0, x1, y1, ...): each record's pixel in each projection, null where it is not shown. EPSG:3031 has the places that a map of the south may show."""
+    lat, lng = F.col("lat"), F.col("lng")
+    placed = []
+    for k, epsg in enumerate(projections):
+        shown = plottable(epsg, lat) & lng.isNotNull() & ((lat <= 1.0) if epsg == 3031 else F.lit(True))
+        placed += [F.when(shown, c).alias(f"{name}{k}") for name, c in zip("xy", global_pixel(epsg, max_zoom, lat, lng, tile_size), strict=True)]
+    return views.compact(records, strict).select("borYear", map_keys().alias("keys"), *placed)
+
+
 def sweep(
     records: DataFrame, large: list[str], projections: tuple[int, ...], max_zoom: int, min_zoom: int, finish: Callable[[Iterator[tuple[int, Level]], list[str]], Iterator[pa.RecordBatch]], shape: str,
     tile_size: int = 512, strict: bool = True, chunk: int = CHUNK,
 ) -> DataFrame:
     """What ``finish`` makes of (zoom, whole pixels) of the views in ``large``, task by task; its rows are of ``shape``.
 
-    A pixel's rows come in one piece and once. EPSG:3031 has the places that a map of the south may show.
+    A pixel's rows come in one piece and once.
     """
-    compact = views.compact(records, strict)
-    lat, lng = F.col("lat"), F.col("lng")
-    placed = []
-    for k, epsg in enumerate(projections):
-        shown = plottable(epsg, lat) & lng.isNotNull() & ((lat <= 1.0) if epsg == 3031 else F.lit(True))
-        placed += [F.when(shown, c).alias(f"{name}{k}") for name, c in zip("xy", global_pixel(epsg, max_zoom, lat, lng, tile_size), strict=True)]
     names = records.sparkSession.sparkContext.broadcast(large)
-    rows = compact.select("borYear", map_keys().alias("keys"), *placed)
+    rows = _placed(records, projections, max_zoom, tile_size, strict)
     dealt = rows.mapInArrow(_deal(names, len(projections), max_zoom - min_zoom), "route bigint, code bigint, borYear int, views array<int>").repartition("route").sortWithinPartitions("code")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +238,28 @@ def totals(projections: tuple[int, ...]):
     return finish
 
 
+def on_tiles(grid: tuple[int, int], x: np.ndarray, y: np.ndarray, tile_size: int, buffer: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(pixels' numbers, tileX, tileY, x and y there): all pixels on their own tiles, then those in the buffer of a neighbour, side by side."""
+    (nx, ny), (tx, ty) = grid, (x // tile_size, y // tile_size)
+    wide, high = (g * tile_size for g in (nx, ny))
+    near = {}
+    for axis, at, count in (("x", x % tile_size, nx), ("y", y % tile_size, ny)):
+        near[axis, 0] = np.ones(len(x), bool)
+        near[axis, -1] = (at < buffer) if count > 1 else np.zeros(len(x), bool)  # alone on its axis, a tile is its own neighbour
+        near[axis, 1] = (at >= tile_size - buffer) & ~(near[axis, -1] if count == 2 else False) if count > 1 else near[axis, -1]
+    for dx in (0, -1, 1):
+        for dy in (0, -1, 1):
+            k = np.flatnonzero(near["x", dx] & near["y", dy])
+            if len(k):
+                ax, ay = (tx[k] + dx) % nx, (ty[k] + dy) % ny
+                px, py = x[k] - ax * tile_size, y[k] - ay * tile_size
+                for at, world in ((px, wide), (py, high)):
+                    low, far = at < -buffer, at >= tile_size + buffer
+                    at[low] += world
+                    at[far] -= world
+                yield k, ax, ay, px, py
+
+
 PIECES = "epsg int, z int, mapKey string, tileX int, tileY int, piece binary"
 PIECE_BUFFER = 1_000_000
 
@@ -242,24 +273,8 @@ def tile_pieces(projections: tuple[int, ...], tile_size: int = 512, buffer: int
         for p in np.unique(level[0]).tolist():
             mine = slice(None) if level[0].min() == level[0].max() else level[0] == p
             x, y, view, bor, n = (c[mine] for c in level[1:])
-            (nx, ny), (tx, ty) = grids[p].tiles(zoom), (x // tile_size, y // tile_size)
-            wide, high = (g * tile_size for g in (nx, ny))
-            near = {}
-            for axis, at, count in (("x", x % tile_size, nx), ("y", y % tile_size, ny)):
-                near[axis, 0] = np.ones(len(x), bool)
-                near[axis, -1] = (at < buffer) if count > 1 else np.zeros(len(x), bool)  # alone on its axis, a tile is its own neighbour
-                near[axis, 1] = (at >= tile_size - buffer) & ~(near[axis, -1] if count == 2 else False) if count > 1 else near[axis, -1]
-            for dx in (0, -1, 1):
-                for dy in (0, -1, 1):
-                    k = np.flatnonzero(near["x", dx] & near["y", dy])
-                    if len(k):
-                        ax, ay = (tx[k] + dx) % nx, (ty[k] + dy) % ny
-                        px, py = x[k] - ax * tile_size, y[k] - ay * tile_size
-                        for at, world in ((px, wide), (py, high)):
-                            low, far = at < -buffer, at >= tile_size + buffer
-                            at[low] += world
-                            at[far] -= world
-                        yield np.full(len(k), p), view[k], ax, ay, tile_arrays.pack(px, py, bor[k], n[k], buffer)
+            for k, ax, ay, px, py in on_tiles(grids[p].tiles(zoom), x, y, tile_size, buffer):
+                yield np.full(len(k), p), view[k], ax, ay, tile_arrays.pack(px, py, bor[k], n[k], buffer)
 
     def pieces(zoom: int, held: list[tuple[np.ndarray, ...]], known: pa.Array) -> Iterator[pa.RecordBatch]:
         p, view, tx, ty, counts = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -293,3 +308,79 @@ def tile_pieces(projections: tuple[int, ...], tile_size: int = 512, buffer: int
             yield from pieces(z, parts, known)
 
     return finish
+
+
+#: Records times views that a task packs at a time.
+PACK_BUFFER = 3_000_000
+PACK_PART = 300_000
+
+
+def numbered(records: DataFrame, large: list[str], projections: tuple[int, ...], max_zoom: int, tile_size: int = 512, strict: bool = True) -> DataFrame:
+    """(borYear, views, x0, y0, x1, y1, ...) of the records in a view of ``large``; views are numbers there."""
+    names = records.sparkSession.sparkContext.broadcast(large)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(names.value, pa.string())
+        for batch in batches:
+            if batch.num_rows:
+                sizes, lists = _numbers(batch.column(1), known)
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, *batch.columns[2:]], ["borYear", "views", *batch.schema.names[2:]]).filter(pa.array(sizes > 0))
+
+    places = ", ".join(f"x{k} int, y{k} int" for k in range(len(projections)))
+    return _placed(records, projections, max_zoom, tile_size, strict).mapInArrow(run, f"borYear int, views array<int>, {places}")
+
+
+def packs(places: DataFrame, large: list[str], epsg: int, zoom: int, max_zoom: int, tile_size: int = 512, buffer: int = 64) -> DataFrame:
+    """(mapKey, tileX, tileY, piece) of one zoom from (borYear, views, x, y) at ``max_zoom``: records summed, tile by tile, as far as a task has them at a time."""
+    names, most = places.sparkSession.sparkContext.broadcast(large), PACK_BUFFER
+    bits, grid = tile_packs.bits_of(tile_size + 2 * buffer), GRIDS[epsg].tiles(zoom)
+
+    def packed(rows: pa.RecordBatch, known: pa.Array) -> Iterator[pa.RecordBatch]:
+        x, y = (rows.column(k).to_numpy().astype(np.int64) >> max_zoom - zoom for k in (2, 3))
+        layers, layer = np.unique(tile_packs.by_layer(rows.column(0).to_numpy()), return_inverse=True)
+        view, sizes = rows.column(1).flatten().to_numpy().astype(np.int64), pc.list_value_length(rows.column(1)).to_numpy().astype(np.int64)
+        starts, low, placed = np.cumsum(sizes) - sizes, 2 * bits + len(layers).bit_length(), []
+        ids, most_bits = None, len(known).bit_length() + 2 * zoom + 2
+        for k, ax, ay, px, py in on_tiles(grid, x, y, tile_size, buffer):
+            many = sizes[k]
+            own = view if len(k) == len(x) else view[np.repeat(starts[k] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+            tile, count = ax << zoom + 1 | ay, (layer[k] << bits | px + buffer) << bits | py + buffer
+            placed.append((own << 2 * zoom + 2 | np.repeat(tile, many), np.repeat(count, many)) if most_bits + low > 63 else own << 2 * zoom + 2 + low | np.repeat(tile << low | count, many))
+        if most_bits + low > 63:  # tiles' numbers are too long beside the counts
+            ids, tile = np.unique(np.concatenate([c for c, _ in placed]), return_inverse=True)
+            placed = [tile << low | np.concatenate([c for _, c in placed])]
+        every = np.concatenate(placed)
+        del placed, view
+        every.sort()
+        first, cuts = 0, np.flatnonzero(every[1:] >> low != every[:-1] >> low) + 1
+        while first < len(every):  # some whole tiles at a time
+            k = int(np.searchsorted(cuts, first + PACK_PART))
+            end = int(cuts[k]) if k < len(cuts) else len(every)
+            yield pieces(every[first:end], layers, low, ids, known)
+            first = end
+
+    def pieces(part: np.ndarray, layers: np.ndarray, low: int, ids: np.ndarray | None, known: pa.Array) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        n, part = np.diff(np.append(first, len(part))), part[first]
+        tile, key = part >> low, part & (1 << low) - 1
+        key = layers[key >> 2 * bits] << 2 * bits | key & (1 << 2 * bits) - 1
+        begin = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+        tile = tile[begin] if ids is None else ids[tile[begin]]
+        data, offsets = tile_packs.pack(key, n, begin)
+        piece = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+        at = [pa.array(c.astype(np.int32)) for c in ((tile >> zoom + 1) & (1 << zoom + 1) - 1, tile & (1 << zoom + 1) - 1)]
+        return pa.RecordBatch.from_arrays([known.take(pa.array(tile >> 2 * zoom + 2)), *at, piece], ["mapKey", "tileX", "tileY", "piece"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, size = pa.array(names.value, pa.string()), [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += len(batch.column(1).flatten())
+                if size >= most:
+                    yield from packed(tile_arrays._one(held), known)
+                    held, size = [], 0
+        if held:
+            yield from packed(tile_arrays._one(held), known)
+
+    return places.filter(F.col("x").isNotNull()).mapInArrow(lean(run), "mapKey string, tileX int, tileY int, piece binary")

@@ -11,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import bor_year, keys, projection, tile_arrays, tiling, wire
+from .functions import bor_year, keys, projection, tile_arrays, tile_packs, tiling, wire
 from .operators import layout, points, tiles, views
 from .plans import build, lifecycle, pyramid, sweep
 from .plans.config import Config, Manifest
 from .sources import cells, fixtures, occurrences
-from .sources.shared import shared_dir
+from .sources.shared import lean, shared_dir, short_lived_shuffles
 
 THRESHOLD = 1000
 MODULUS = 12
@@ -272,7 +272,7 @@ def _tile_rows_of(stored: DataFrame) -> DataFrame:
 
     def decode(batches):
         for batch in batches:
-            for some in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
+            for some in tile_packs.parts([batch], 3):
                 for at, layers, layer, x, y, years, year, n in tile_arrays.read(some.column(3).to_pylist()):
                     own = [c.take(pa.array(at)) for c in some.columns[:3]]
                     said = [pa.array(names, pa.string()).take(pa.array(k)) for names, k in ((layers, layer), (years, year))]
@@ -280,7 +280,7 @@ def _tile_rows_of(stored: DataFrame) -> DataFrame:
                     rows = pa.RecordBatch.from_arrays(columns, ["mapKey", "tileX", "tileY", "layer", "pixelX", "pixelY", "year", "occCount"])
                     yield from (rows.slice(k, 50_000) for k in range(0, rows.num_rows, 50_000))
 
-    return named.mapInArrow(decode, _TILE_SHAPE)
+    return named.mapInArrow(lean(decode), _TILE_SHAPE)
 
 
 def _point_rows_of(stored: DataFrame) -> DataFrame:
@@ -324,7 +324,8 @@ def sink_roundtrip(spark, sf_dir):
 def _built(spark: SparkSession, sf_dir: str, mode: str, **settings) -> tuple[Config, str]:
     """A whole build from files in nested folders: its settings and the table that is live after it."""
     base = _scratch(spark, f"build-{mode}")
-    _raw(spark, sf_dir).withColumn("half", F.pmod(F.col("kingdomKey"), F.lit(2))).write.partitionBy("half").parquet(f"{base}/in/export")
+    with short_lived_shuffles(spark):
+        _raw(spark, sf_dir).withColumn("half", F.pmod(F.col("kingdomKey"), F.lit(2))).write.partitionBy("half").option("compression", "zstd").parquet(f"{base}/in/export")
     config = Config(source=f"{base}/in/*", target=f"{base}/maps", threshold=THRESHOLD, salt_modulus=MODULUS, partitions=4, **settings)
     store = build.run(spark, Manifest.from_json(Manifest(mode, "20200101_0000", config).to_json()))
     return config, lifecycle.live(store)[mode]

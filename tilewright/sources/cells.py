@@ -8,6 +8,10 @@ from ..operators.layout import by_salt
 from .shared import small_batches
 
 
+#: A cell may have megabytes, so the writer looks at its size after each, and row groups are small.
+_BOUNDS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 100, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 100}
+
+
 def path_of(target: str, table: str, mode: str, family: str | None = None, zoom: int | None = None) -> str:
     """The one layout that writers and readers share: points in <table>/points, tiles in <table>/tiles/<family>/z<zoom>."""
     base = f"{target.rstrip('/')}/{table}/{mode}"
@@ -18,10 +22,10 @@ def path_of(target: str, table: str, mode: str, family: str | None = None, zoom:
     return base
 
 
-def write(cells: DataFrame, path: str, modulus: int, compression: str = "snappy") -> None:
-    """One file for each salt, sorted by row key."""
+def write(cells: DataFrame, path: str, modulus: int, compression: str = "snappy", laid: bool = False) -> None:
+    """One file for each salt, sorted by row key. ``laid``: the cells come that way."""
     with small_batches(cells.sparkSession):
-        by_salt(cells, modulus).write.mode("overwrite").option("compression", compression).parquet(path)
+        (cells if laid else by_salt(cells, modulus)).write.mode("overwrite").options(**_BOUNDS).option("compression", compression).parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

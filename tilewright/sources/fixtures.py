@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_SUPPLIERS = 500_000
 _BASES = ("PRESERVED_SPECIMEN", "MACHINE_OBSERVATION", "OCCURRENCE", "HUMAN_OBSERVATION", "LIVING_SPECIMEN", "OBSERVATION", "MATERIAL_CITATION", "MATERIAL_SAMPLE", "FOSSIL_SPECIMEN")
 
 
@@ -39,16 +40,14 @@ def _columns(array: str, empty: str) -> dict[str, str]:
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items as occurrence records."""
+    """All line items as occurrence records. Orders and suppliers get their nations first, so line items are shuffled once if suppliers are few."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    nation = read("nation")
-    joined = (
-        read("lineitem").alias("l").join(read("orders").alias("o"), _on("l_orderkey", "o_orderkey"))
-        .join(read("customer").alias("c"), _on("o_custkey", "c_custkey"))
-        .join(nation.alias("cn"), _on("c_nationkey", "cn.n_nationkey"))
-        .join(read("supplier").alias("s"), _on("l_suppkey", "s_suppkey"))
-        .join(nation.alias("sn"), _on("s_nationkey", "sn.n_nationkey"))
-    )
+    nation = read("nation").select("n_nationkey", "n_name")
+    buyers = read("orders").join(read("customer"), _on("o_custkey", "c_custkey")).join(nation, _on("c_nationkey", "n_nationkey")).select("o_orderkey", "n_name")
+    suppliers = read("supplier").select("s_suppkey", "s_nationkey")
+    few = suppliers.limit(BROADCAST_SUPPLIERS + 1).count() <= BROADCAST_SUPPLIERS
+    sellers = suppliers.join(nation, _on("s_nationkey", "n_nationkey")).select("s_suppkey", "n_name")
+    joined = read("lineitem").join(buyers.alias("cn"), _on("l_orderkey", "o_orderkey")).join((F.broadcast(sellers) if few else sellers).alias("sn"), _on("l_suppkey", "s_suppkey"))
     return joined.selectExpr(*[f"{e} AS {c}" for c, e in _columns("array", "CAST(array() AS ARRAY<STRING>)").items()])
 
 

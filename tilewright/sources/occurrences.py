@@ -46,17 +46,21 @@ def map_input(source: DataFrame) -> DataFrame:
     return of_interest(project(source))
 
 
+ROW_GROUP_BYTES = 16 << 20
+
+
 def store(records: DataFrame, target: str, partitions: int | None = None, as_table: bool = False, fmt: str = "parquet") -> DataFrame:
     """Write the build's input once, replacing an earlier one, and return it read back.
 
     ``partitions`` evens out files that come from many small ones; without it Spark's adaptive rebalancing sizes them.
+    Row groups are small, so that few files still keep many tasks busy.
     """
     spark = records.sparkSession
     even = records.repartition(partitions) if partitions else records.hint("rebalance")
     if as_table:
         even.write.mode("overwrite").format(fmt).saveAsTable(target)
         return spark.table(target)
-    even.write.mode("overwrite").format(fmt).save(target)
+    even.write.mode("overwrite").format(fmt).option("parquet.block.size", ROW_GROUP_BYTES).save(target)
     return spark.read.schema(records.schema).format(fmt).load(target)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL: list[str] = []
 
 
@@ -28,17 +29,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of at most BATCH_BYTES while plans of wide rows run, so that a task's memory is bounded."""
-    before = spark.conf.get(_BATCH_CONF, None)
-    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+def _held(spark: SparkSession, conf: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(conf, None)
+    spark.conf.set(conf, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_BATCH_CONF)
+            spark.conf.unset(conf)
         else:
-            spark.conf.set(_BATCH_CONF, before)
+            spark.conf.set(conf, before)
+
+
+def small_batches(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Arrow batches of at most BATCH_BYTES while plans of wide rows run, so that a task's memory is bounded."""
+    return _held(spark, _BATCH_CONF, str(BATCH_BYTES))
+
+
+def short_lived_shuffles(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """A query's shuffle files go when it ends, and not when the driver happens to collect its garbage."""
+    return _held(spark, _CLEANUP_CONF, "true")
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
